@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from newsloom.llm import lookalike
+from newsloom.llm import address, lookalike
 
 
 def queries() -> dict:
     return {
         "p2_found": lookalike.p2_found,
         "p2_forms": lookalike.p2_forms,
+        "p4_found": address.p4_found,
+        "p4_records": address.p4_records,
     }
 
 
