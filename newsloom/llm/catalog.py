@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, lookalike
+from newsloom.llm import address, lookalike, sigtree
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "p2_forms": lookalike.p2_forms,
         "p4_found": address.p4_found,
         "p4_records": address.p4_records,
+        "p6_found": sigtree.p6_found,
     }
 
 
