@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, lookalike, sigtree
+from newsloom.llm import address, forest, lookalike, sigtree
 
 
 def queries() -> dict:
     return {
+        "p1_found": forest.p1_found,
+        "p1_batches": forest.p1_batches,
         "p2_found": lookalike.p2_found,
         "p2_forms": lookalike.p2_forms,
         "p4_found": address.p4_found,

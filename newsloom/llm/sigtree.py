@@ -154,7 +154,7 @@ def similar_sets(sets: DataFrame, threshold: float, order: W.Order | None = None
 
 def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame]:
     """(members: id, set_key; sets: set_key, words), read from a run in the shared folder: titles are read once."""
-    rows = written(W.with_word_sets(df, id_column, title), "word-sets")
+    rows = written(W.with_word_sets(df, id_column, title).drop("batch"), "word-sets")
     sets = rows.groupBy("set_key").agg(F.first("words").alias("words"))
     return rows.select("id", "set_key"), sets
 

@@ -70,16 +70,16 @@ def need(t: float, sizes: np.ndarray) -> np.ndarray:
     return np.ceil(t / (1 + t) * sizes - 1e-9).astype(np.int64)
 
 
-def with_word_sets(df: DataFrame, id_column: str, title: str) -> DataFrame:
-    """id, set_key binary(16), words binary (sorted 64-bit hashes); rows without a word are left out, they resemble none."""
+def with_word_sets(df: DataFrame, id_column: str, title: str, batch_column: str | None = None) -> DataFrame:
+    """id, set_key binary(16), words binary (sorted 64-bit hashes), batch int; rows without a word are left out, they resemble none."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
         for batch in batches:
             if len(seen) > 500_000:
                 seen.clear()
-            ids, keys, packed = [], [], []
-            for i, title_ in zip(batch["id"], batch["title"]):
+            ids, numbers, keys, packed = [], [], [], []
+            for i, n, title_ in zip(batch["id"], batch["batch"], batch["title"]):
                 if title_ is None:
                     continue
                 hashes = []
@@ -91,12 +91,14 @@ def with_word_sets(df: DataFrame, id_column: str, title: str) -> DataFrame:
                 if hashes:
                     p = np.unique(np.array(hashes, np.int64)).tobytes()
                     ids.append(i)
+                    numbers.append(n)
                     packed.append(p)
                     keys.append(xxhash.xxh3_128_digest(p))
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "set_key": pd.Series(keys, dtype=object), "words": pd.Series(packed, dtype=object)})
+            yield pd.DataFrame({"id": np.array(ids, np.int64), "set_key": pd.Series(keys, dtype=object), "words": pd.Series(packed, dtype=object), "batch": np.array(numbers, np.int32)})
 
-    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(title).alias("title"))
-    return rows.mapInPandas(hashed, "id bigint, set_key binary, words binary")
+    number = F.coalesce(F.col(batch_column).cast("int"), F.lit(0)) if batch_column else F.lit(0)
+    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(title).alias("title"), number.alias("batch"))
+    return rows.mapInPandas(hashed, "id bigint, set_key binary, words binary, batch int")
 
 
 @dataclass(frozen=True)
