@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, forest, lookalike, sigtree
+from newsloom.llm import address, consensus, forest, lookalike, sigtree
 
 
 def queries() -> dict:
@@ -13,6 +13,8 @@ def queries() -> dict:
         "p2_forms": lookalike.p2_forms,
         "p4_found": address.p4_found,
         "p4_records": address.p4_records,
+        "p5_found": consensus.p5_found,
+        "p5_records": consensus.p5_records,
         "p6_found": sigtree.p6_found,
     }
 
