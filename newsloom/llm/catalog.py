@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, consensus, forest, lookalike, sigtree
+from newsloom.llm import address, consensus, forest, lookalike, mixing, packing, sigtree
 
 
 def queries() -> dict:
@@ -16,6 +16,10 @@ def queries() -> dict:
         "p5_found": consensus.p5_found,
         "p5_records": consensus.p5_records,
         "p6_found": sigtree.p6_found,
+        "p7_containers": packing.p7_containers,
+        "p7_fill": packing.p7_fill,
+        "p8_selection": mixing.p8_selection,
+        "p8_shares": mixing.p8_shares,
     }
 
 
