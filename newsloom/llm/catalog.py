@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, consensus, forest, lookalike, mixing, packing, sigtree
+from newsloom.llm import address, consensus, forest, lookalike, mixing, packing, sigtree, spans
 
 
 def queries() -> dict:
@@ -20,6 +20,8 @@ def queries() -> dict:
         "p7_fill": packing.p7_fill,
         "p8_selection": mixing.p8_selection,
         "p8_shares": mixing.p8_shares,
+        "p9_found": spans.p9_found,
+        "p9_coverage": spans.p9_coverage,
     }
 
 
