@@ -67,8 +67,7 @@ class HashForest:
     @classmethod
     def founded(cls, history: DataFrame, threshold: float = THRESHOLD, **more) -> HashForest:
         """From rows id, batch, set_key, words."""
-        sets = _sets(history)
-        forest = cls(W.word_order(sets), threshold, **more)
+        forest = cls(W.word_order(history), threshold, **more)
         forest.accept(history)
         return forest
 

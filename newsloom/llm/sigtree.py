@@ -133,9 +133,8 @@ def similar_in_blocks(batch: pd.DataFrame, t: float, old: np.ndarray | None = No
     return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
-def similar_sets(sets: DataFrame, threshold: float, order: W.Order | None = None) -> DataFrame:
+def similar_sets(sets: DataFrame, threshold: float, order: W.Order) -> DataFrame:
     """set_a, set_b, similarity of all pairs of distinct word sets that reach the threshold; sets: set_key, words."""
-    order = order or W.word_order(sets)
     blocks = W.prefix_blocks(sets, order, threshold)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
 
@@ -152,17 +151,20 @@ def similar_sets(sets: DataFrame, threshold: float, order: W.Order | None = None
     return blocks.mapInPandas(join, "set_a binary, set_b binary, similarity double")
 
 
-def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame]:
-    """(members: id, set_key; sets: set_key, words), read from a run in the shared folder: titles are read once."""
+def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame, W.Order]:
+    """(members: id, set_key; sets: set_key, words; order), read from a run in the shared folder: titles are read once.
+
+    Words are counted over the rows, copies included: any order is right, and the rows lie there without a shuffle.
+    """
     rows = written(W.with_word_sets(df, id_column, title).drop("batch"), "word-sets")
     sets = rows.groupBy("set_key").agg(F.first("words").alias("words"))
-    return rows.select("id", "set_key"), sets
+    return rows.select("id", "set_key"), sets, W.word_order(rows)
 
 
 def similar_rows(df: DataFrame, id_column: str, title: str, threshold: float = THRESHOLD) -> DataFrame:
     """id_a < id_b of all rows whose titles reach the threshold, equal titles included."""
-    members, sets = word_sets(df, id_column, title)
-    pairs = similar_sets(sets, threshold).select("set_a", "set_b")
+    members, sets, order = word_sets(df, id_column, title)
+    pairs = similar_sets(sets, threshold, order).select("set_a", "set_b")
     a = members.select(F.col("id").alias("x"), F.col("set_key").alias("set_a"))
     b = members.select(F.col("id").alias("y"), F.col("set_key").alias("set_b"))
     across = pairs.join(a, "set_a").join(b, "set_b").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
