@@ -12,17 +12,21 @@ TRACKING_RE = "^(" + "|".join(TRACKING_PREFIXES) + ")"
 URL_RE = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*).*$"
 
 
+def cleaned(url: Column) -> Column:
+    """Without tabs and line ends anywhere, and without control characters and spaces before it; null to ''."""
+    return F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+
+
 def url_host(url: Column) -> Column:
     """Lower-case host with every `www.` removed; '' where there is none or the link is null."""
-    host = F.regexp_extract(F.coalesce(url, F.lit("")), URL_RE, 1)
+    host = F.regexp_extract(cleaned(url), URL_RE, 1)
     return F.replace(F.lower(host), F.lit("www."), F.lit(""))
 
 
 def normalize_url(url: Column) -> Column:
     """Host and path without scheme, query, fragment, `;parameters` of the last segment and closing slash."""
-    text = F.trim(F.coalesce(url, F.lit("")))
-    path = F.regexp_replace(F.regexp_extract(text, URL_RE, 2), r";[^/]*$", "")
-    return F.concat(url_host(text), F.regexp_replace(path, "/+$", ""))
+    path = F.regexp_replace(F.regexp_extract(cleaned(url), URL_RE, 2), r";[^/]*$", "")
+    return F.concat(url_host(url), F.regexp_replace(path, "/+$", ""))
 
 
 def query_text(url: Column) -> Column:

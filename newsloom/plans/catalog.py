@@ -1,12 +1,284 @@
-"""Registered queries of the core and, where SQL can express them, the same in DuckDB's SQL."""
+"""Registered queries of the core. Each runs over whole tables; plans.sql has the same in DuckDB's SQL where SQL can say it."""
 
 from __future__ import annotations
 
-from newsloom.operators import timestamps
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from newsloom.functions import dates, numbers
+from newsloom.functions import text as X
+from newsloom.functions import url as U
+from newsloom.operators import articles as A
+from newsloom.operators import config, diagnostics, timestamps
+from newsloom.operators import ranking as R
+from newsloom.operators import similarity as S
+from newsloom.operators.graph import connected_components
+from newsloom.params import DEFAULTS
+from newsloom.plans import sql
+from newsloom.plans.pipeline import hotspots
+from newsloom.sources.tables import articles, read, traces
+
+#: Titles of these types are free of compatibility characters, which DuckDB can't normalise.
+PLAIN = ("rss", "google", "reddit")
+
+
+def _plain(spark, sf: str) -> DataFrame:
+    return articles(spark, sf, PLAIN)
+
+
+def _joined(tokens) -> F.Column:
+    return F.array_join(F.array_sort(tokens), " ")
+
+
+def union_registry(spark, sf):
+    return articles(spark, sf).select("article_ix", "source_type", "source_priority", "title")
+
+
+def norm_title(spark, sf):
+    d = _plain(spark, sf).select("article_ix", X.normalize_title(F.col("title"), False).alias("norm_title"))
+    return d.withColumn("compact_title", X.compact(F.col("norm_title")))
+
+
+def norm_url(spark, sf):
+    d = _plain(spark, sf)
+    return d.select("article_ix", U.normalize_url(F.col("link")).alias("norm_url"), U.url_host(F.col("link")).alias("domain"), U.tracking_params(F.col("link")).alias("tracking"))
+
+
+def noise_signals(spark, sf):
+    return A.with_noise(_plain(spark, sf), compatibility=False).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
+
+
+def noise_removed(spark, sf):
+    d = A.with_noise(_plain(spark, sf), compatibility=False)
+    return d.groupBy("source_type").agg(F.count("*").alias("total"), F.count_if("is_noise").alias("removed"))
+
+
+def word_tokens(spark, sf):
+    d = A.with_features(_plain(spark, sf), False)
+    return d.select("article_ix", F.size("word_tokens").cast("bigint").alias("n"), _joined("word_tokens").alias("words"))
+
+
+def bigram_sets(spark, sf):
+    d = A.with_features(_plain(spark, sf), False)
+    return d.select("article_ix", _joined("cjk_bigrams").alias("cjk"), _joined("compact_bigrams").alias("compact"))
+
+
+def _halves(spark, sf):
+    rss = articles(spark, sf, ("rss",))
+    return rss.where("batch_no > 0"), rss.where("batch_no = 0")
+
+
+def history_anti_join(spark, sf):
+    new, old = _halves(spark, sf)
+    return A.not_in_history(new, old, False).select("article_ix", "title", "link")
+
+
+def same_day_seen(spark, sf):
+    new, old = _halves(spark, sf)
+    return A.not_seen_today(new, old).select("article_ix", "title", "link")
+
+
+def _features(spark, sf):
+    return S.features_of(_plain(spark, sf), False)
+
+
+def candidate_pairs(spark, sf):
+    return S.candidate_pairs(_features(spark, sf))
+
+
+def pair_jaccard(spark, sf):
+    f = _features(spark, sf)
+    d = S.measured(S.with_both(S.candidate_pairs(f), f))
+    return d.select("i", "j", F.bround("jac", 6).alias("jaccard"), F.col("words").cast("bigint").alias("words"), "url")
+
+
+def comparable_pairs(spark, sf):
+    f = _features(spark, sf)
+    return S.measured(S.with_both(S.candidate_pairs(f), f)).where(S.comparable()).select("i", "j", "hint")
+
+
+def fuzzy_pairs(spark, sf):
+    f = _features(spark, sf)
+    return S.scored_pairs(S.candidate_pairs(f), f, DEFAULTS.hot_threshold).select("i", "j", F.bround("similarity", 4).alias("similarity"))
+
+
+def exact_components(spark, sf):
+    return connected_components(S.exact_pairs(_features(spark, sf)).withColumnsRenamed({"i": "src", "j": "dst"}))
+
+
+def hot_scores(spark, sf):
+    d = A.with_features(_plain(spark, sf), False)
+    comp = connected_components(S.exact_pairs(d).withColumnsRenamed({"i": "src", "j": "dst"}))
+    return R.hot_scores(d.select("article_ix", "source_type"), comp)
+
+
+def history_penalty(spark, sf):
+    new, old = _halves(spark, sf)
+    return S.history_scores(S.features_of(new, False), S.features_of(old, False)).where("history_score < 0").select("article_ix", F.bround("similarity", 4).alias("similarity"), "history_score")
+
+
+def engagement_tiers(spark, sf):
+    return articles(spark, sf).select("article_ix", A.engagement(None).cast("bigint").alias("extra_score"))
+
+
+def recency(spark, sf):
+    return R.with_recency(articles(spark, sf, ("rss",))).select("article_ix", "recency_score")
+
+
+def fetch_rank(spark, sf):
+    return R.with_rank_scores(R.with_base_scores(_plain(spark, sf))).select("article_ix", "base_score", "extra_score", "rank_score")
+
+
+def _scored(spark, sf) -> DataFrame:
+    """Scores without the fuzzy parts; articles of one normalised title are one component."""
+    d = A.with_features(_plain(spark, sf), False)
+    heads = d.where("norm_title <> ''").groupBy("norm_title").agg(F.min("article_ix").alias("component"))
+    d = d.join(heads, "norm_title", "left").withColumn("component", F.coalesce("component", "article_ix"))
+    d = R.with_rank_scores(R.with_base_scores(d))
+    d = d.withColumn("recency_score", F.when(F.col("source_type") == "rss", dates.recency_score(R.date_ts(), F.lit(DEFAULTS.now).cast("timestamp"))).otherwise(0.0))
+    return R.with_final_score(d.withColumns({"history_score": F.lit(0.0), "hot_score": F.lit(0.0)}))
+
+
+def final_score(spark, sf):
+    return _scored(spark, sf).select("article_ix", "component", "final_score")
+
+
+def canonical_pick(spark, sf):
+    return R.canonical(_scored(spark, sf)).select("article_ix", "cluster_size", "multi_source", "first_ix", "final_score")
+
+
+def cluster_topic(spark, sf):
+    return R.canonical(_scored(spark, sf)).select("article_ix", "primary_topic", F.size("topic_candidates").cast("bigint").alias("topics"))
+
+
+def grouped_ranking(spark, sf):
+    d = R.with_base_scores(_plain(spark, sf))
+    d = d.withColumn("o", F.struct((-(F.col("base_score") + F.col("extra_score"))).alias("s"), X.text(F.col("title")).alias("t"), F.col("article_ix").alias("x")))
+    return R.positions(d, "source_type", "o", "position").select("article_ix", "source_type", F.col("position").cast("bigint").alias("position"))
+
+
+def topic_order(spark, sf):
+    c = R.canonical(_scored(spark, sf))
+    return R.topic_order(c, R.source_order(c)).select("primary_topic", "available", F.col("topic_rank").cast("bigint").alias("topic_rank"))
+
+
+def round_robin_topn(spark, sf):
+    d = R.top_per_topic(R.canonical(_scored(spark, sf)))
+    return d.select(F.col("primary_topic").alias("topic"), "article_ix", F.col("selection_order").cast("bigint").alias("selection_order"), F.col("rank").cast("bigint").alias("rank"), F.col("turn").cast("bigint").alias("turn"))
+
+
+def markdown_lines(spark, sf):
+    return R.markdown_lines(R.top_per_topic(R.canonical(_scored(spark, sf)))).select("topic", F.col("rank").cast("bigint").alias("rank"), "line")
+
+
+def distribution(spark, sf):
+    return R.distribution(articles(spark, sf)).select("source_type", "n")
+
+
+def timing_summary(spark, sf):
+    return diagnostics.timing_summary(traces(spark, sf), ["step_key"])
+
+
+def slow_buckets(spark, sf):
+    return diagnostics.slow_buckets(traces(spark, sf), ["step_key"])
+
+
+def failed_items(spark, sf):
+    return diagnostics.failed_items(diagnostics.normalized_traces(traces(spark, sf))).select("trace_id", "step_key", "error", "active_s")
+
+
+def step_runs(spark, sf):
+    return diagnostics.step_runs(traces(spark, sf))
+
+
+def pipeline_status(spark, sf):
+    return diagnostics.pipeline_status(diagnostics.step_runs(traces(spark, sf)), ["run_date"])
+
+
+def health_history(spark, sf):
+    runs = diagnostics.step_runs(traces(spark, sf)).withColumn("observed", F.col("run_date").cast("timestamp"))
+    return diagnostics.health_history(runs, F.lit("2024-01-31 00:00:00").cast("timestamp"))
+
+
+def overlay_merge(spark, sf):
+    base = read(spark, sf, "feed_sources").select("source_id", "source_name", "topic", F.col("priority").cast("bigint").alias("priority"))
+    over = read(spark, sf, "reddit_subreddits").select("source_id", "source_name", F.lit(None).cast("string").alias("topic"), F.lit(5).cast("bigint").alias("priority"))
+    patch = base.where("priority >= 8").select("source_id", F.lit(None).cast("string").alias("source_name"), F.lit("pinned").alias("topic"), F.lit(None).cast("bigint").alias("priority"))
+    return config.overlay_merge(base, over.unionByName(patch), "source_id")
+
+
+def topic_labels(spark, sf):
+    topics = read(spark, sf, "web_topics").select(F.col("topic_id").alias("id"), F.when(F.col("queries_ok") >= 4, F.concat(F.col("api_used"), F.lit(" / "), F.col("topic_id"))).alias("label"))
+    rows = read(spark, sf, "rss_articles").where("topic is not null").groupBy("topic").agg(F.count("*").alias("n"))
+    return config.with_topic_titles(rows, topics)
+
+
+def config_violations(spark, sf):
+    return config.source_violations(read(spark, sf, "reddit_subreddits"), read(spark, sf, "web_topics"), ["source_id", "source_name", "subreddit"])
+
+
+def first_wins(spark, sf):
+    d = read(spark, sf, "web_articles").where("link <> ''")
+    return A.first_wins(d, [F.col("topic"), F.col("link")], [F.col("article_id")]).select("article_id", "topic", "link")
+
+
+def html_clean(spark, sf):
+    d = read(spark, sf, "documents")
+    return d.select("doc_id", X.truncate(X.clean_html(F.col("text")), 240).alias("summary"))
+
+
+def release_summary(spark, sf):
+    d = read(spark, sf, "documents")
+    return d.select("doc_id", X.truncate_at_space(X.strip_markdown(F.col("text")), 500).alias("summary"))
+
+
+def human_numbers(spark, sf):
+    d = read(spark, sf, "reddit_articles").where("score is not null")
+    said = F.when(F.col("article_id") % 3 == 0, F.concat(F.col("score").cast("string"), F.lit("万"))).when(F.col("article_id") % 3 == 1, F.concat(F.lit("约 "), F.format_string("%.1f", F.col("score") / 10), F.lit(" 亿 热度"))).otherwise(F.col("score").cast("string"))
+    return d.select("article_id", numbers.human_number(said).alias("number"))
+
+
+def stars_per_day(spark, sf):
+    o = read(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("stars"), F.min("o_orderdate").alias("created"))
+    age = F.greatest(F.lit(1), F.datediff(F.lit("2000-01-01").cast("date"), F.to_date("created")))
+    return o.select("o_custkey", "stars", F.bround(F.col("stars") / age, 6).alias("daily"))
+
+
+def window_cutoff(spark, sf):
+    now = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    d = traces(spark, sf).where(F.unix_seconds("ts") >= F.unix_seconds(now) - 48 * 3600)
+    return d.groupBy("run_date").agg(F.count("*").alias("n"))
+
+
+def search_queries(spark, sf):
+    d = read(spark, sf, "web_articles").where("web_query is not null").select("web_query").distinct()
+    return d.select("web_query", X.search_query(F.col("web_query"), F.array(F.lit("press release"), F.lit("jobs"), F.lit(" "))).alias("query"))
+
+
+def feed_dates(spark, sf):
+    d = read(spark, sf, "rss_articles")
+    return d.select("article_id", F.unix_seconds(dates.parse_feed_date(F.col("date"))).alias("second"))
+
+
+def top_engaged(spark, sf):
+    """Best five posts of each source by score, first met wins ties."""
+    w = Window.partitionBy("source_id").orderBy(F.desc("score"), "article_id")
+    d = read(spark, sf, "reddit_articles").where("score is not null and source_id is not null")
+    return d.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("source_id", "article_id", F.col("rank").cast("bigint").alias("rank"), "score")
+
+
+_CORE = (
+    union_registry, norm_title, norm_url, noise_signals, noise_removed, word_tokens, bigram_sets, history_anti_join, same_day_seen, candidate_pairs,
+    pair_jaccard, comparable_pairs, fuzzy_pairs, exact_components, hot_scores, history_penalty, engagement_tiers, recency, fetch_rank, final_score,
+    canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, distribution, timing_summary, slow_buckets, failed_items,
+    step_runs, pipeline_status, health_history, overlay_merge, topic_labels, config_violations, first_wins, html_clean, release_summary, human_numbers,
+    stars_per_day, window_cutoff, search_queries, feed_dates, top_engaged,
+)
 
 
 def queries() -> dict:
-    return {
+    return {f.__name__: f for f in _CORE} | {
+        "hotspots": hotspots,
         "p3_found": timestamps.p3_found,
         "p3_how": timestamps.p3_how,
         "p3_estimated_zones": timestamps.p3_estimated_zones,
@@ -14,4 +286,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
