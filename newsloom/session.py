@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,22 @@ def local_session(cpus: int | str = "*", app: str = "newsloom", partitions: int
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return ship(spark)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once a session: their Python need not have it installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_newsloom_shipped", False):
+        package = Path(__file__).parent
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for p in sorted(package.rglob("*.py")):
+                z.write(p, p.relative_to(package.parent))
+        folder = Path(tempfile.mkdtemp(prefix="newsloom-code-"))
+        (folder / "newsloom_code.zip").write_bytes(packed.getvalue())
+        context.addPyFile(str(folder / "newsloom_code.zip"))  # served by the driver, so a local file of the driver will do
+        context._newsloom_shipped = True
     return spark
 
 
