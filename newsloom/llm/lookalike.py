@@ -116,7 +116,7 @@ _plain_reader: Reader | None = None
 def read_form(text: str) -> str:
     """The form with the lowest code points as representatives (Latin letters for their look-alikes); needs no corpus."""
     global _plain_reader
-    if text.isascii():
+    if text.isascii() and text.isprintable():
         return " ".join(text.split())
     if _plain_reader is None:
         _plain_reader = Reader(shape_classes())
@@ -156,6 +156,7 @@ class Rewriter:
         for member, to in rules.items():
             self.automaton.add_word(member, (len(member), to))
         self.empty = not rules
+        self.ascii_stays = not any(member.isascii() for member in rules)
         if rules:
             self.automaton.make_automaton()
 
@@ -167,7 +168,7 @@ class Rewriter:
         return "".join(out) + text[at:] if at else text
 
     def __call__(self, text: str) -> str:
-        if text.isascii():
+        if self.ascii_stays and text.isascii() and text.isprintable():
             return " ".join(text.split())
         text = text.translate(self.gone)
         while not self.empty and (then := self.once(text)) != text:

@@ -37,7 +37,7 @@ def pack_histogram(histogram: dict[int, int], capacity: int) -> list[tuple[int,
         left = histogram[length]
         while left:
             if not heap or heap[0][0] + length > capacity:
-                each = max(1, capacity // length) if length * 2 <= capacity and not heap else 1
+                each = capacity // length  # a new pack is the least filled one until it has no room for this length
                 whole, rest = divmod(left, each)
                 if whole:
                     put(each * length, whole, {length: each})
