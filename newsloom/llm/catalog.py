@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import address, consensus, forest, lookalike, mixing, packing, sigtree, spans
+from newsloom.llm import address, consensus, forest, lookalike, mixing, packing, sigtree, spans, sql
 
 
 def queries() -> dict:
@@ -26,4 +26,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
