@@ -61,7 +61,7 @@ class HashForest:
     order: W.Order
     threshold: float = THRESHOLD
     trees: int | None = None  # None: as many as full recall needs
-    runs: list[DataFrame] = field(default_factory=list)  # block, side, tree, size, set_key, words
+    runs: list[DataFrame] = field(default_factory=list)  # block, side, tree, size, words
     seen: list[DataFrame] = field(default_factory=list)  # set_key, batch, first_id
 
     @classmethod
@@ -83,7 +83,7 @@ class HashForest:
 
     def merge(self) -> None:
         """Fold all runs into one; equal entries of several runs become one."""
-        whole = reduce(DataFrame.unionByName, self.runs).dropDuplicates(["block", "side", "tree", "set_key"])
+        whole = reduce(DataFrame.unionByName, self.runs).dropDuplicates(["block", "side", "tree", "words"])
         self.runs = [written(whole.repartition("block"), "forest-run", sort=["block", "tree"])]
         rest = reduce(DataFrame.unionByName, self.seen).groupBy("set_key", "batch").agg(F.min("first_id").alias("first_id"))
         self.seen = [written(rest, "forest-seen")]
@@ -101,11 +101,11 @@ class HashForest:
             for batch in W.whole_blocks(batches):
                 old = batch["old"].to_numpy(bool)
                 i, j = similar_in_blocks(batch, threshold, old)
-                key = batch["set_key"].to_numpy()
+                words = batch["words"].to_numpy()
                 # (new, old) both ways round; two new sets see each other
                 a, b = np.r_[i, j], np.r_[j, i]
                 ok = ~old[a]
-                yield pd.DataFrame({"new_key": key[a[ok]], "old_key": key[b[ok]]})
+                yield pd.DataFrame({"new_key": [W.set_key(w) for w in words[a[ok]]], "old_key": [W.set_key(w) for w in words[b[ok]]]})
 
         return entries.mapInPandas(look, "new_key binary, old_key binary").where("new_key <> old_key").distinct()
 

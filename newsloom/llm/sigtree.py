@@ -141,10 +141,10 @@ def similar_sets(sets: DataFrame, threshold: float, order: W.Order) -> DataFrame
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in W.whole_blocks(batches):
             i, j = similar_in_blocks(batch, threshold)
-            keys, words = batch["set_key"].to_numpy(), batch["words"].to_numpy()
+            words = batch["words"].to_numpy()
             if len(i):
-                a, b = keys[i], keys[j]
-                swap = a > b
+                a, b = (np.array([W.set_key(w) for w in words[x]] + [None], dtype=object)[:-1] for x in (i, j))
+                swap = np.array([x > y for x, y in zip(a, b)])
                 sim = [W.jaccard(set(np.frombuffer(words[x], np.int64).tolist()), set(np.frombuffer(words[y], np.int64).tolist())) for x, y in zip(i, j)]
                 yield pd.DataFrame({"set_a": np.where(swap, b, a), "set_b": np.where(swap, a, b), "similarity": sim})
 

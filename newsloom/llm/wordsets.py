@@ -159,7 +159,12 @@ def ordered(packed: pd.Series, order: Order) -> tuple[np.ndarray, np.ndarray, np
     return words[by], row, sizes, np.arange(len(words)) - np.repeat(starts, sizes)
 
 
-BLOCK_SCHEMA = "block bigint, side int, tree int, size int, set_key binary, words binary"
+BLOCK_SCHEMA = "block bigint, side int, tree int, size int, words binary"
+
+
+def set_key(words: bytes) -> bytes:
+    """The key of a set from its words in any order: blocks needn't carry it."""
+    return xxhash.xxh3_128_digest(np.sort(np.frombuffer(words, np.int64)).tobytes())
 
 
 def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str = "") -> DataFrame:
@@ -194,7 +199,7 @@ def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str =
                 block = np.where(split, cell, w[rep])
                 side = np.where(split & (lo != hi), np.where(own == lo, 1, 2), 0).astype(np.int32)
                 r, p = r[rep], p[rep]
-            out = {"block": block, "side": side, "tree": p.astype(np.int32), "size": sizes[r].astype(np.int32), "set_key": batch["set_key"].to_numpy()[r], "words": sorted_words[r]}
+            out = {"block": block, "side": side, "tree": p.astype(np.int32), "size": sizes[r].astype(np.int32), "words": sorted_words[r]}
             if extra:
                 out[extra] = batch[extra].to_numpy()[r]
             yield pd.DataFrame(out)
