@@ -36,6 +36,8 @@ from newsloom.llm.sigtree import similar_in_blocks
 from newsloom.session import written
 
 THRESHOLD = 0.7
+#: At most so many prefixes of a batch (8 bytes each) are broadcast to filter the history's runs.
+SENT_PREFIXES = 200_000
 
 
 def occurrences(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -90,10 +92,14 @@ class HashForest:
 
     def search(self, rows: DataFrame) -> DataFrame:
         """new_key, old_key: the word sets of rows, each with every accepted set, or set of rows itself, that is similar."""
-        new = written(self.permutations(rows).repartition("block"), "forest-batch", sort=["block", "tree"])
+        new = written(self.permutations(rows), "forest-batch", sort=["block", "tree"])
         prefixes = new.select("block").distinct()
+        # few prefixes are sent to the runs, so that history elsewhere isn't even shuffled; many would cost more than they save
+        few = prefixes.limit(SENT_PREFIXES + 1).count() <= SENT_PREFIXES
         flags = [new.withColumn("old", F.lit(False))]
-        flags += [run.join(prefixes, "block", "left_semi").select(*new.columns, F.lit(True).alias("old")) for run in self.runs]
+        for run in self.runs:
+            met = run.join(F.broadcast(prefixes), "block", "left_semi") if few else run
+            flags.append(met.select(*new.columns, F.lit(True).alias("old")))
         entries = reduce(DataFrame.unionByName, flags).repartition("block").sortWithinPartitions("block")
         threshold = self.threshold
 
