@@ -15,7 +15,7 @@ from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
 from newsloom.params import DEFAULTS
 from newsloom.plans import sql
-from newsloom.plans.pipeline import hotspots
+from newsloom.plans.pipeline import top_stories
 from newsloom.sources.tables import articles, read, traces
 
 #: Titles of these types are free of compatibility characters, which DuckDB can't normalise.
@@ -278,7 +278,7 @@ _CORE = (
 
 def queries() -> dict:
     return {f.__name__: f for f in _CORE} | {
-        "hotspots": hotspots,
+        "top_stories": top_stories,
         "p3_found": timestamps.p3_found,
         "p3_how": timestamps.p3_how,
         "p3_estimated_zones": timestamps.p3_estimated_zones,

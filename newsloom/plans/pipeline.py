@@ -37,7 +37,7 @@ def ranked_articles(arts: DataFrame, history: DataFrame, params: Params = DEFAUL
     return R.canonical(R.with_final_score(R.with_recency(scored, params)))
 
 
-def hotspots(spark, sf: str, params: Params = DEFAULTS) -> DataFrame:
+def top_stories(spark, sf: str, params: Params = DEFAULTS) -> DataFrame:
     """Top articles per topic over all article tables; the first half of the feeds' batches is the archive."""
     arts = articles(spark, sf)
     history = arts.where((F.col("source_type") == "rss") & (F.col("batch_no") == 0)).select("article_ix", "title", "link")

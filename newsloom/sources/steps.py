@@ -16,7 +16,7 @@ ITEM = (
     f"reddit_url:string,external_url:string,score:bigint,num_comments:bigint,replies:bigint,metrics:{METRICS}>"
 )
 STEP = f"generated string, source_type string, articles array<{ITEM}>"
-HOTSPOTS = "generated_at string, topics array<struct<id:string,title:string,items:array<struct<title:string,link:string>>>>"
+OUTPUT = "generated_at string, topics array<struct<id:string,title:string,items:array<struct<title:string,link:string>>>>"
 
 
 def read_step(spark: SparkSession, path: str, source_type: str) -> DataFrame:
@@ -51,7 +51,7 @@ def archive_items(spark: SparkSession, root: str, before: str | None = None, on:
 
     Layout: root/run_date=YYYY-MM-DD/*.json, one document a file.
     """
-    raw = spark.read.schema(HOTSPOTS + ", run_date date").option("multiLine", True).option("mode", "PERMISSIVE").json(root)
+    raw = spark.read.schema(OUTPUT + ", run_date date").option("multiLine", True).option("mode", "PERMISSIVE").json(root)
     if before:
         raw = raw.where(F.col("run_date") < F.lit(before).cast("date"))
     if on:
@@ -60,7 +60,7 @@ def archive_items(spark: SparkSession, root: str, before: str | None = None, on:
     return items.select("run_date", text(F.col("i.title")).alias("title"), text(F.col("i.link")).alias("link"))
 
 
-def hotspot_documents(selected: DataFrame, generated_at: str) -> DataFrame:
+def output_documents(selected: DataFrame, generated_at: str) -> DataFrame:
     """One JSON document of topics with their items in rank order. selected: topic, rank, title, link and more (bounded by top-N)."""
     item = F.struct("rank", *[c for c in selected.columns if c not in ("topic", "rank")])
     topics = selected.groupBy("topic").agg(F.array_sort(F.collect_list(item)).alias("items"))
@@ -70,7 +70,7 @@ def hotspot_documents(selected: DataFrame, generated_at: str) -> DataFrame:
 
 def write_archive(selected: DataFrame, root: str, run_date: str, generated_at: str) -> None:
     """Adds a document to the day's partition; earlier documents of the day stay."""
-    hotspot_documents(selected, generated_at).coalesce(1).write.mode("append").text(f"{root}/run_date={run_date}")
+    output_documents(selected, generated_at).coalesce(1).write.mode("append").text(f"{root}/run_date={run_date}")
 
 
 def expired(run_dates: Column, today: Column, keep_days: int = 30) -> Column:
