@@ -1,7 +1,13 @@
-"""Registered queries of the core. Each runs over whole tables; plans.sql has the same in DuckDB's SQL where SQL can say it."""
+"""Registered queries of the core; plans.sql has the same in DuckDB's SQL where SQL can say it.
+
+Queries of article rows that SQL checks run over the tables whose titles DuckDB can normalise (PLAIN); each has a form
+all_... over all four article tables, without SQL.
+"""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,15 +21,15 @@ from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
 from newsloom.params import DEFAULTS
 from newsloom.plans import sql
-from newsloom.plans.pipeline import top_stories
+from newsloom.plans.pipeline import scored_stories, top_stories
 from newsloom.sources.tables import articles, read, traces
 
 #: Titles of these types are free of compatibility characters, which DuckDB can't normalise.
 PLAIN = ("rss", "google", "reddit")
 
 
-def _plain(spark, sf: str) -> DataFrame:
-    return articles(spark, sf, PLAIN)
+def _rows(spark, sf: str, whole: bool) -> DataFrame:
+    return articles(spark, sf) if whole else articles(spark, sf, PLAIN)
 
 
 def _joined(tokens) -> F.Column:
@@ -34,32 +40,32 @@ def union_registry(spark, sf):
     return articles(spark, sf).select("article_ix", "source_type", "source_priority", "title")
 
 
-def norm_title(spark, sf):
-    d = _plain(spark, sf).select("article_ix", X.normalize_title(F.col("title"), False).alias("norm_title"))
+def norm_title(spark, sf, whole=False):
+    d = _rows(spark, sf, whole).select("article_ix", X.normalize_title(F.col("title"), whole).alias("norm_title"))
     return d.withColumn("compact_title", X.compact(F.col("norm_title")))
 
 
-def norm_url(spark, sf):
-    d = _plain(spark, sf)
+def norm_url(spark, sf, whole=False):
+    d = _rows(spark, sf, whole)
     return d.select("article_ix", U.normalize_url(F.col("link")).alias("norm_url"), U.url_host(F.col("link")).alias("domain"), U.tracking_params(F.col("link")).alias("tracking"))
 
 
-def noise_signals(spark, sf):
-    return A.with_noise(_plain(spark, sf), compatibility=False).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
+def noise_signals(spark, sf, whole=False):
+    return A.with_noise(_rows(spark, sf, whole), compatibility=whole).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
-def noise_removed(spark, sf):
-    d = A.with_noise(_plain(spark, sf), compatibility=False)
+def noise_removed(spark, sf, whole=False):
+    d = A.with_noise(_rows(spark, sf, whole), compatibility=whole)
     return d.groupBy("source_type").agg(F.count("*").alias("total"), F.count_if("is_noise").alias("removed"))
 
 
-def word_tokens(spark, sf):
-    d = A.with_features(_plain(spark, sf), False)
+def word_tokens(spark, sf, whole=False):
+    d = A.with_features(_rows(spark, sf, whole), whole)
     return d.select("article_ix", F.size("word_tokens").cast("bigint").alias("n"), _joined("word_tokens").alias("words"))
 
 
-def bigram_sets(spark, sf):
-    d = A.with_features(_plain(spark, sf), False)
+def bigram_sets(spark, sf, whole=False):
+    d = A.with_features(_rows(spark, sf, whole), whole)
     return d.select("article_ix", _joined("cjk_bigrams").alias("cjk"), _joined("compact_bigrams").alias("compact"))
 
 
@@ -78,36 +84,36 @@ def same_day_seen(spark, sf):
     return A.not_seen_today(new, old).select("article_ix", "title", "link")
 
 
-def _features(spark, sf):
-    return S.features_of(_plain(spark, sf), False)
+def _features(spark, sf, whole):
+    return S.features_of(_rows(spark, sf, whole), whole)
 
 
-def candidate_pairs(spark, sf):
-    return S.candidate_pairs(_features(spark, sf))
+def candidate_pairs(spark, sf, whole=False):
+    return S.candidate_pairs(_features(spark, sf, whole))
 
 
-def pair_jaccard(spark, sf):
-    f = _features(spark, sf)
+def pair_jaccard(spark, sf, whole=False):
+    f = _features(spark, sf, whole)
     d = S.measured(S.with_both(S.candidate_pairs(f), f))
     return d.select("i", "j", F.bround("jac", 6).alias("jaccard"), F.col("words").cast("bigint").alias("words"), "url")
 
 
-def comparable_pairs(spark, sf):
-    f = _features(spark, sf)
+def comparable_pairs(spark, sf, whole=False):
+    f = _features(spark, sf, whole)
     return S.measured(S.with_both(S.candidate_pairs(f), f)).where(S.comparable()).select("i", "j", "hint")
 
 
 def fuzzy_pairs(spark, sf):
-    f = _features(spark, sf)
+    f = _features(spark, sf, True)
     return S.scored_pairs(S.candidate_pairs(f), f, DEFAULTS.hot_threshold).select("i", "j", F.bround("similarity", 4).alias("similarity"))
 
 
-def exact_components(spark, sf):
-    return connected_components(S.exact_pairs(_features(spark, sf)).withColumnsRenamed({"i": "src", "j": "dst"}))
+def exact_components(spark, sf, whole=False):
+    return connected_components(S.exact_pairs(_features(spark, sf, whole)).withColumnsRenamed({"i": "src", "j": "dst"}))
 
 
-def hot_scores(spark, sf):
-    d = A.with_features(_plain(spark, sf), False)
+def hot_scores(spark, sf, whole=False):
+    d = A.with_features(_rows(spark, sf, whole), whole)
     comp = connected_components(S.exact_pairs(d).withColumnsRenamed({"i": "src", "j": "dst"}))
     return R.hot_scores(d.select("article_ix", "source_type"), comp)
 
@@ -125,13 +131,15 @@ def recency(spark, sf):
     return R.with_recency(articles(spark, sf, ("rss",))).select("article_ix", "recency_score")
 
 
-def fetch_rank(spark, sf):
-    return R.with_rank_scores(R.with_base_scores(_plain(spark, sf))).select("article_ix", "base_score", "extra_score", "rank_score")
+def fetch_rank(spark, sf, whole=False):
+    return R.with_rank_scores(R.with_base_scores(_rows(spark, sf, whole))).select("article_ix", "base_score", "extra_score", "rank_score")
 
 
-def _scored(spark, sf) -> DataFrame:
-    """Scores without the fuzzy parts; articles of one normalised title are one component."""
-    d = A.with_features(_plain(spark, sf), False)
+def _scored(spark, sf, whole) -> DataFrame:
+    """whole: the pipeline's scores and components. Else what SQL can say: no fuzzy parts, one component a normalised title."""
+    if whole:
+        return scored_stories(spark, sf)
+    d = A.with_features(_rows(spark, sf, False), False)
     heads = d.where("norm_title <> ''").groupBy("norm_title").agg(F.min("article_ix").alias("component"))
     d = d.join(heads, "norm_title", "left").withColumn("component", F.coalesce("component", "article_ix"))
     d = R.with_rank_scores(R.with_base_scores(d))
@@ -139,36 +147,36 @@ def _scored(spark, sf) -> DataFrame:
     return R.with_final_score(d.withColumns({"history_score": F.lit(0.0), "hot_score": F.lit(0.0)}))
 
 
-def final_score(spark, sf):
-    return _scored(spark, sf).select("article_ix", "component", "final_score")
+def final_score(spark, sf, whole=False):
+    return _scored(spark, sf, whole).select("article_ix", "component", "final_score")
 
 
-def canonical_pick(spark, sf):
-    return R.canonical(_scored(spark, sf)).select("article_ix", "cluster_size", "multi_source", "first_ix", "final_score")
+def canonical_pick(spark, sf, whole=False):
+    return R.canonical(_scored(spark, sf, whole)).select("article_ix", "cluster_size", "multi_source", "first_ix", "final_score")
 
 
-def cluster_topic(spark, sf):
-    return R.canonical(_scored(spark, sf)).select("article_ix", "primary_topic", F.size("topic_candidates").cast("bigint").alias("topics"))
+def cluster_topic(spark, sf, whole=False):
+    return R.canonical(_scored(spark, sf, whole)).select("article_ix", "primary_topic", F.size("topic_candidates").cast("bigint").alias("topics"))
 
 
-def grouped_ranking(spark, sf):
-    d = R.with_base_scores(_plain(spark, sf))
+def grouped_ranking(spark, sf, whole=False):
+    d = R.with_base_scores(_rows(spark, sf, whole))
     d = d.withColumn("o", F.struct((-(F.col("base_score") + F.col("extra_score"))).alias("s"), X.text(F.col("title")).alias("t"), F.col("article_ix").alias("x")))
     return R.positions(d, "source_type", "o", "position").select("article_ix", "source_type", F.col("position").cast("bigint").alias("position"))
 
 
-def topic_order(spark, sf):
-    c = R.canonical(_scored(spark, sf))
+def topic_order(spark, sf, whole=False):
+    c = R.canonical(_scored(spark, sf, whole))
     return R.topic_order(c, R.source_order(c)).select("primary_topic", "available", F.col("topic_rank").cast("bigint").alias("topic_rank"))
 
 
-def round_robin_topn(spark, sf):
-    d = R.top_per_topic(R.canonical(_scored(spark, sf)))
+def round_robin_topn(spark, sf, whole=False):
+    d = R.top_per_topic(R.canonical(_scored(spark, sf, whole)))
     return d.select(F.col("primary_topic").alias("topic"), "article_ix", F.col("selection_order").cast("bigint").alias("selection_order"), F.col("rank").cast("bigint").alias("rank"), F.col("turn").cast("bigint").alias("turn"))
 
 
-def markdown_lines(spark, sf):
-    return R.markdown_lines(R.top_per_topic(R.canonical(_scored(spark, sf)))).select("topic", F.col("rank").cast("bigint").alias("rank"), "line")
+def markdown_lines(spark, sf, whole=False):
+    return R.markdown_lines(R.top_per_topic(R.canonical(_scored(spark, sf, whole)))).select("topic", F.col("rank").cast("bigint").alias("rank"), "line")
 
 
 def distribution(spark, sf):
@@ -275,9 +283,14 @@ _CORE = (
     stars_per_day, window_cutoff, search_queries, feed_dates, top_engaged,
 )
 
+_ALL = (
+    norm_title, norm_url, noise_signals, noise_removed, word_tokens, bigram_sets, candidate_pairs, pair_jaccard, comparable_pairs, exact_components,
+    hot_scores, fetch_rank, final_score, canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines,
+)
+
 
 def queries() -> dict:
-    return {f.__name__: f for f in _CORE} | {
+    return {f.__name__: f for f in _CORE} | {f"all_{f.__name__}": partial(f, whole=True) for f in _ALL} | {
         "top_stories": top_stories,
         "p3_found": timestamps.p3_found,
         "p3_how": timestamps.p3_how,

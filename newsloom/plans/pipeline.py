@@ -14,8 +14,8 @@ from newsloom.session import written
 from newsloom.sources.tables import ARTICLE, articles
 
 
-def ranked_articles(arts: DataFrame, history: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Canonical articles with scores and topics. history: article_ix, title, link of the archive."""
+def scored_articles(arts: DataFrame, history: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Articles with all scores and their duplicate component. history: article_ix, title, link of the archive."""
     fresh = A.not_in_history(A.without_noise(arts, params), history).select(*ARTICLE)
     rows = written(A.with_features(fresh), "articles")  # used by five branches; the title UDF runs once
     feats = rows.select("article_ix", *S.FEATURES)
@@ -34,13 +34,18 @@ def ranked_articles(arts: DataFrame, history: DataFrame, params: Params = DEFAUL
         .join(dup, "article_ix", "left")
         .withColumn("component", F.coalesce("component", "article_ix"))
     )
-    return R.canonical(R.with_final_score(R.with_recency(scored, params)))
+    return R.with_final_score(R.with_recency(scored, params))
 
 
-def top_stories(spark, sf: str, params: Params = DEFAULTS) -> DataFrame:
-    """Top articles per topic over all article tables; the first half of the feeds' batches is the archive."""
+def scored_stories(spark, sf: str, params: Params = DEFAULTS) -> DataFrame:
+    """scored_articles over all article tables; batch 0 of the feeds is the archive."""
     arts = articles(spark, sf)
     history = arts.where((F.col("source_type") == "rss") & (F.col("batch_no") == 0)).select("article_ix", "title", "link")
     fresh = arts.where((F.col("source_type") != "rss") | (F.col("batch_no") > 0))
-    top = R.top_per_topic(ranked_articles(fresh, history, params), params)
+    return scored_articles(fresh, history, params)
+
+
+def top_stories(spark, sf: str, params: Params = DEFAULTS) -> DataFrame:
+    """Top articles per topic over all article tables."""
+    top = R.top_per_topic(R.canonical(scored_stories(spark, sf, params)), params)
     return top.select(F.col("primary_topic").alias("topic"), "rank", "selection_order", "title", "link", "source_type", "source_name", "final_score", "cluster_size", "multi_source")
