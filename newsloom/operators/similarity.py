@@ -105,10 +105,10 @@ def can_reach(least: float) -> Column:
     """False only for pairs whose weighted similarity must stay below least. Needs measured columns.
 
     The ratios weigh 0.7 together. The floor of 0.93 needs a direct ratio of 0.9, hence at most a tenth of all characters
-    edited; an edit changes two bigrams at most.
+    inserted or deleted; each takes away a bigram and adds two, or the reverse, so three change at most.
     """
     apart = F.size("a_compact_bigrams") + F.size("b_compact_bigrams") - 2 * F.col("grams")
-    close = apart <= 0.2 * (F.length("a_norm_title") + F.length("b_norm_title")) + 1e-9
+    close = apart <= 0.3 * (F.length("a_norm_title") + F.length("b_norm_title")) + 1e-9
     return F.lit(least <= 0.8) | (0.7 + 0.2 * F.col("jac") + 0.1 * F.col("url") >= least - 1e-9) | close
 
 

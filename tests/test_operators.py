@@ -49,6 +49,13 @@ def test_pairs_and_similarity(spark):
     assert every == {(r["i"], r["j"]) for r in S.scored_pairs(S.candidate_pairs(f), f, 0.86).collect()}
 
 
+def test_prefilter_keeps_scattered_insertions(spark):
+    titles = ["x4ea 4q9o m489 4zjo j7ya ekct br4y", "x4ea 1 4q9o z m489 2 4zjo i j7ya x ekct g br4y"]
+    f = S.features_of(frame(spark, [{"title": t, "link": f"https://h{i}.example/{i}"} for i, t in enumerate(titles)]))
+    pairs = spark.createDataFrame([(0, 1)], "i bigint, j bigint")
+    assert [r["similarity"] for r in S.scored_pairs(pairs, f, 0.92).collect()] == [0.93]
+
+
 def test_history_score(spark):
     old = S.features_of(frame(spark, [{"title": "Rust compiler gets faster builds"}, {"title": "Weather today"}]))
     new = S.features_of(frame(spark, [{"title": "Rust compiler gets faster builds"}, {"title": "Nothing in common at all"}]))
