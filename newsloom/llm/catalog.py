@@ -16,6 +16,7 @@ def queries() -> dict:
         "p5_found": consensus.p5_found,
         "p5_records": consensus.p5_records,
         "p6_found": sigtree.p6_found,
+        "p6_groups": sigtree.p6_groups,
         "p7_containers": packing.p7_containers,
         "p7_fill": packing.p7_fill,
         "p8_selection": mixing.p8_selection,

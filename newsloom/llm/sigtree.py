@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import wordsets as W
+from newsloom.operators.graph import connected_components
 from newsloom.session import written
 
 LEAF, FAN = 32, 8
@@ -174,6 +175,24 @@ def similar_rows(df: DataFrame, id_column: str, title: str, threshold: float = T
     return across.unionByName(equal.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")))
 
 
+def similar_groups(df: DataFrame, id_column: str, title: str, threshold: float = THRESHOLD) -> DataFrame:
+    """id, class_id (the least id of its class), links (similar rows, copies included) of all rows that resemble another.
+
+    Distinct sets are linked, each named by its least id, so copies are counted and never paired.
+    """
+    members, sets, order = word_sets(df, id_column, title)
+    heads = written(members.groupBy("set_key").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "set-heads")
+    pairs = similar_sets(sets, threshold, order).select("set_a", "set_b")
+    a, b = (heads.select(F.col("set_key").alias(f"set_{x}"), F.col("head").alias(f"head_{x}"), F.col("copies").alias(f"copies_{x}")) for x in "ab")
+    linked = written(pairs.join(a, "set_a").join(b, "set_b"), "set-links")
+    both = linked.select(F.col("head_a").alias("head"), F.col("copies_b").alias("n")).unionByName(linked.select(F.col("head_b").alias("head"), F.col("copies_a").alias("n")))
+    others = both.groupBy("head").agg(F.sum("n").alias("others"))
+    classes = connected_components(linked, "head_a", "head_b").withColumnRenamed("vertex", "head")
+    marked = heads.join(others, "head", "left").join(classes, "head", "left")
+    marked = marked.select("set_key", F.coalesce("component", "head").alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    return members.join(marked.where("links > 0"), "set_key").select("id", "class_id", "links")
+
+
 def titles(spark, sf: str) -> DataFrame:
     tables = ("twitter_articles", "rss_articles", "web_articles")
     return reduce(DataFrame.unionByName, (spark.read.parquet(f"{sf}/{t}.parquet").select("article_id", "title") for t in tables))
@@ -181,3 +200,8 @@ def titles(spark, sf: str) -> DataFrame:
 
 def p6_found(spark, sf: str) -> DataFrame:
     return similar_rows(titles(spark, sf), "article_id", "title")
+
+
+def p6_groups(spark, sf: str) -> DataFrame:
+    """Each record with a similar one: its class and its number of links."""
+    return similar_groups(titles(spark, sf), "article_id", "title")

@@ -37,6 +37,22 @@ def test_similar_rows_is_exact(spark):
     assert sigtree.similar_rows(df.limit(0), "id", "title").count() == 0
 
 
+def test_similar_groups(spark):
+    texts = titles(2, 120)
+    s = sets_of(texts)
+    near = {i: {j for j in range(len(s)) if j != i and wordsets.jaccard(s[i], s[j]) >= 0.7 - 1e-9} for i in range(len(s))}
+    want = {}
+    for i in sorted(k for k in near if near[k]):
+        todo = [i]
+        while todo:
+            if (k := todo.pop()) not in want:
+                want[k] = i
+                todo += near[k]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, title string")
+    got = {r["id"]: (r["class_id"], r["links"]) for r in sigtree.similar_groups(df, "id", "title").collect()}
+    assert got == {i: (c, len(near[i])) for i, c in want.items()} and len(set(want.values())) > 5
+
+
 def test_hot_words_in_cells_and_deep_trees(spark):
     # one word in all titles and no rarer ones shared: blocks larger than a leaf, words split into cells
     rnd = random.Random(2)
