@@ -1,15 +1,16 @@
 """Deduplicating new batches against all history: a prefix-tree hash forest over titles, and an address index beside it.
 
-Signature. A title's signature is its word hashes in a rare-first order that is fixed when the forest is founded. Tree r
-of the forest holds the permutation that starts with the r-th word of the signature. A run is all trees of the distinct
-word sets of some rows, sorted by first word and written to the shared folder, so that a range search finds the sets
-under a prefix.
-
-Search. A batch's sets look themselves up whole first (equal titles), then under shorter and shorter prefixes, tree by
-tree. For a similarity t the first |x| - ceil(t*|x|) + 1 trees reach every similar set (see wordsets), so the widening
-stops there; recall is 1, and ``trees`` lowers it only if the caller asks. What is found is verified on the whole
-sets. Of the history's runs only the entries under the batch's own prefixes are read into the join; history is never
-compared with history. ``accept`` adds the batch as a run, ``merge`` folds runs into one.
+Signature. A title's signature is its word hashes in a rare-first order that is fixed when the forest is founded. A run
+has one entry for each prefix word of each distinct word set (entry ``tree`` r: the r-th word of the signature), sorted by
+that word and written to the shared folder. All entries of a set hold the same word order.
+
+Search. The first |x| - ceil(t*|x|) + 1 words reach every similar set (see wordsets). The batch's and the runs' entries
+meet by one shuffle on equality of a single prefix word, and each block is searched by the signature trees of sigtree and
+verified on the whole sets: recall is 1, and ``trees`` lowers it only if the caller asks. There is no look-up of whole
+sets first, no prefix of several words, no range search in the sorted runs and no widening loop. Where the batch has few
+prefixes, only the runs' entries under them are shuffled; else all are. Pairs of two old sets of one block may be formed
+and are dropped before they are verified. ``accept`` adds the batch as a run, ``merge`` folds runs into one; the
+registered queries use neither after founding, as they take all later batches as one arrival.
 
 Defined results: a null title, or one without words, matches by address only; a null or empty link by title only; equal
 rows repeat each other; a row never matches itself; history is accepted as it stands; an empty batch gives no rows.
