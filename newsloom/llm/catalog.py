@@ -22,6 +22,7 @@ def queries() -> dict:
         "p8_selection": mixing.p8_selection,
         "p8_shares": mixing.p8_shares,
         "p9_found": spans.p9_found,
+        "p9_spans": spans.p9_spans,
         "p9_coverage": spans.p9_coverage,
     }
 

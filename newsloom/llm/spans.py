@@ -395,9 +395,14 @@ def p9_found(spark, sf: str) -> DataFrame:
     return shared_pairs(_documents(spark, sf))
 
 
+def p9_spans(spark, sf: str) -> DataFrame:
+    """doc_id, lo, hi of every shared stretch."""
+    return shared_spans(_documents(spark, sf))
+
+
 def p9_coverage(spark, sf: str) -> DataFrame:
     """Per document: code points, how many of them stand in other documents too, number of shared stretches."""
     docs = _documents(spark, sf)
-    spans = shared_spans(docs).groupBy("doc_id").agg(F.sum(F.col("hi") - F.col("lo")).alias("shared_chars"), F.count("*").alias("spans"))
+    spans = p9_spans(spark, sf).groupBy("doc_id").agg(F.sum(F.col("hi") - F.col("lo")).alias("shared_chars"), F.count("*").alias("spans"))
     sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("chars"))
     return sizes.join(spans, "doc_id", "left").select("doc_id", "chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.coalesce("spans", F.lit(0)).alias("spans"))

@@ -24,3 +24,13 @@ def test_runs(spark, tables, name):
     if name in FOUND:
         assert df.columns == FOUND[name] and {t for _, t in df.dtypes} == {"bigint"} and len(rows) == len(set(rows))
     assert rows
+
+
+def test_spans_are_delivered(spark, tables):
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{tables}/documents.parquet").where("text is not null").collect()}
+    rows = QUERIES["p9_spans"](spark, tables).collect()
+    assert rows and all(0 <= r["lo"] and r["lo"] + 200 <= r["hi"] <= len(text[r["doc_id"]]) for r in rows)
+    for r in rows:  # each end of a stretch lies in a window that another document holds
+        mine = text[r["doc_id"]]
+        for part in (mine[r["lo"] : r["lo"] + 200], mine[r["hi"] - 200 : r["hi"]]):
+            assert any(part in t for d, t in text.items() if d != r["doc_id"])
