@@ -143,13 +143,15 @@ def consensus_values(votes: DataFrame, keys: list[str], chunk: int = CHUNK) -> D
 def best_records(df: DataFrame, *, id_column: str, keys: list[str], trust: Column, recency: Column, fields: list[str]) -> DataFrame:
     """One row per key: first_id, best_id, copies and a consensus value (as text) for each field.
 
-    recency: a number, null for the earliest. Rows with a null first key are left out.
+    recency: a number, null for the earliest. Rows with a null first key are left out. Without fields nothing is voted on.
     """
     rows = df.select(F.col(id_column).alias("id"), *keys, trust.cast("int").alias("trust"), recency.cast("bigint").alias("recency"), *[F.col(f).cast("string").alias(f"f_{f}") for f in fields])
     rows = rows.where(F.col(keys[0]).isNotNull())
     rank = F.struct("trust", F.coalesce("recency", F.lit(-(2**62))), -F.col("id"))
     groups = rows.groupBy(*keys).agg(F.min("id").alias("first_id"), F.max_by("id", rank).alias("best_id"), F.count("*").alias("copies"))
     groups = groups.where("copies > 1")
+    if not fields:
+        return groups.select("first_id", "best_id", "copies")
     held = written(rows.join(groups, keys).drop(*keys), "groups")
     stacked = held.select("first_id", "trust", F.posexplode(F.array(*[F.col(f"f_{f}") for f in fields])).alias("field", "value"))
     votes = stacked.where(F.trim(F.coalesce("value", F.lit(""))) != "").groupBy("first_id", "field", "value").agg(F.sum(1.0 + F.col("trust") / 10).alias("weight"))
@@ -159,22 +161,32 @@ def best_records(df: DataFrame, *, id_column: str, keys: list[str], trust: Colum
     return heads.join(wide, "first_id", "left")
 
 
-FIELDS = ["title", "flair", "topic", "source_name", "external_url", "score", "num_comments"]
+#: All columns of reddit_articles but the id, those of the struct metrics one by one; date by its normalised instant.
+METRICS = ["score", "num_comments", "upvote_ratio"]
+PLAIN = ["title", "flair", "topic", "source_id", "source_name", "link", "reddit_url", "external_url", "score", "num_comments", "is_self", "fetched_at"]
+FIELDS = [*PLAIN, "date", *[f"metrics_{m}" for m in METRICS]]
 
 
-def reddit_records(spark, sf: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf}/reddit_articles.parquet").select("article_id", "source_id", "link", "date", "fetched_at", *FIELDS)
+def instant(second: Column) -> Column:
+    """Seconds since 1970 as text, in UTC whatever the session's zone."""
+    day, rest = F.floor(second / 86400), F.pmod(second, F.lit(86400))
+    clock = F.format_string("T%02d:%02d:%02d+00:00", F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))
+    return F.when(second.isNotNull(), F.concat(F.date_from_unix_date(day.cast("int")).cast("string"), clock))
+
+
+def reddit_records(spark, sf: str, fields: list[str]) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/reddit_articles.parquet").select("article_id", "date", *PLAIN, *[F.col(f"metrics.{m}").alias(f"metrics_{m}") for m in METRICS])
     subreddits = spark.read.parquet(f"{sf}/reddit_subreddits.parquet")
     priority = subreddits.groupBy("source_id").agg(F.max("priority").alias("priority"))
     dated = normalize_timestamps(rows, value="date", fetched="fetched_at", key="source_id", zones=subreddits, zone_key="source_id", zone="tz")
-    linked = with_address(dated.join(priority, "source_id", "left"), "link")
-    return best_records(linked, id_column="article_id", keys=KEYS, trust=normalize_priority(F.col("priority")), recency=F.col("ts_second"), fields=FIELDS)
+    linked = with_address(dated.join(priority, "source_id", "left"), "link").withColumn("date", instant(F.col("ts_second")))
+    return best_records(linked, id_column="article_id", keys=KEYS, trust=normalize_priority(F.col("priority")), recency=F.col("ts_second"), fields=fields)
 
 
 def p5_found(spark, sf: str) -> DataFrame:
-    return reddit_records(spark, sf).select("first_id", "best_id")
+    return reddit_records(spark, sf, []).select("first_id", "best_id")
 
 
 def p5_records(spark, sf: str) -> DataFrame:
     """Each address held twice or more: the record to keep and the best value of each field."""
-    return reddit_records(spark, sf)
+    return reddit_records(spark, sf, FIELDS)

@@ -116,6 +116,18 @@ def test_best_records(spark):
     assert consensus.best_records(df.limit(0), id_column="id", keys=["key"], trust=F.col("prio"), recency=F.col("at"), fields=["title"]).count() == 0
 
 
+def test_records_have_every_field(spark, tables):
+    source = spark.read.parquet(f"{tables}/reddit_articles.parquet")
+    flat = [c for c in source.columns if c not in ("article_id", "metrics")] + [f"metrics_{m}" for m in source.schema["metrics"].dataType.names]
+    got = consensus.p5_records(spark, tables).collect()
+    assert set(got[0].asDict()) == {"first_id", "best_id", "copies", *flat}
+    assert all(any(r[c] is not None for r in got) for c in flat)
+    assert all(r["date"] is None or r["date"].endswith("+00:00") for r in got)
+    assert sorted((r["first_id"], r["best_id"]) for r in got) == sorted(map(tuple, consensus.p5_found(spark, tables).collect()))
+    seconds = spark.sql("select explode(array(-1L, 0L, 951782399L, null)) s").select(consensus.instant(F.col("s"))).collect()
+    assert [r[0] for r in seconds] == ["1969-12-31T23:59:59+00:00", "1970-01-01T00:00:00+00:00", "2000-02-28T23:59:59+00:00", None]
+
+
 def test_consensus_over_many_values_needs_rounds(spark):
     votes = spark.createDataFrame([(1, 0, f"the common words stay while n{i} varies", 1.0) for i in range(400)] + [(1, 0, "the common words stay while varies", 1.0)], "first_id bigint, field int, value string, weight double")
     got = consensus.consensus_values(votes, ["first_id", "field"], chunk=8).collect()
