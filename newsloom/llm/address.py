@@ -12,12 +12,16 @@ tracking parameters don't enter it.
 Defined results: a null, empty or wordless link has no address (null) and is in no group; equal rows are copies of each
 other; an empty table gives an empty result; links of any length are read whole; extra columns are ignored.
 
-Scale: native columns only; one aggregation with map-side combination (a hot address costs one row a task), then a join of
+Scale: native columns, but for links with rarer HTML escapes; one aggregation with map-side combination (a hot address costs one row a task), then a join of
 the addresses that occur twice or more, whose hot keys AQE splits because the other side has one row a key.
 """
 
 from __future__ import annotations
 
+import html
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,24 +34,22 @@ _WORD = r"\p{L}\p{N}\p{M}"
 ESCAPES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "sol": "/", "quest": "?", "equals": "=", "num": "#", "colon": ":", "period": ".", "lowbar": "_", "hyphen": "-"}
 
 
+#: A named or numeric escape with its semicolon; without one, `&copy=1` is a parameter.
+ESCAPE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+
+
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: re.sub(ESCAPE, lambda m: html.unescape(m[0]), t), na_action="ignore")
+
+
 def unescape_html(text: Column) -> Column:
-    """Named escapes of ASCII signs and numeric escapes up to 255."""
+    """All named and numeric escapes; only texts that hold one besides &amp; go to Python."""
     text = F.regexp_replace(text, r"(?i)&(amp;)+", "&")
     for name, sign in ESCAPES.items():
         if name != "amp":
             text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
-
-    def numeric(s: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([0-9]{1,3}|[xX][0-9a-fA-F]{1,2});"), F.lit(0)))
-
-        def put(acc: Column, escape: Column) -> Column:
-            code = F.regexp_extract(escape, "&#(?:[xX])?0*([0-9a-fA-F]*);", 1)
-            number = F.when(escape.rlike("&#[xX]"), F.conv(code, 16, 10)).otherwise(code).try_cast("int")
-            return F.replace(acc, escape, F.coalesce(F.char(number), escape))
-
-        return F.when(F.contains(s, F.lit("&#")), F.aggregate(found, s, put)).otherwise(s)
-
-    return once(text, numeric)
+    return F.coalesce(_unescaped(F.when(text.rlike(ESCAPE), text)), text)
 
 
 def _decoded(text: Column) -> Column:

@@ -72,6 +72,13 @@ def test_addresses(spark):
         address.with_address(df.withColumn("address", F.lit(1)), "link")
 
 
+def test_every_html_escape(spark):
+    same = [["a.example/caf\u00e9", "a.example/caf&eacute;", "a.example/caf&#0233;", "a.example/caf&#x00E9;"], ["a.example/x-y", "a.example/x&#8211;y", "a.example/x&#x2013;y"], ["a.example/\u0142", "a.example/&#322;"], ["a.example/B"], ["a.example/p?x=1&copy=2"]]
+    df = spark.createDataFrame([(k, x) for k, links in enumerate(same) for x in links], "k int, link string")
+    got = {(r["k"], r["address"]) for r in address.with_address(df, "link").collect()}
+    assert len(got) == len({a for _, a in got}) == len(same)
+
+
 def test_merkle_digest(spark):
     kind = T.StructType([T.StructField("a", T.StringType()), T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("steps", T.ArrayType(T.StringType())), T.StructField("m", T.MapType(T.StringType(), T.StringType()))])
     rows = [({"a": "Hello, World", "tags": ["x", "y"], "steps": ["1", "2"], "m": {"k": "v", "l": "w"}},), ({"a": " hello world", "tags": ["y", "x"], "steps": ["1", "2"], "m": {"l": "w", "k": "v"}},), ({"a": "hello world", "tags": ["y", "x"], "steps": ["2", "1"], "m": {"l": "w", "k": "v"}},), ({"a": None, "tags": None, "steps": None, "m": None},)]
