@@ -11,7 +11,7 @@ Defined results: a null title, or one without a word, resembles none; equal titl
 their own; an empty table gives an empty result; titles of any length are read whole.
 
 Scale: nothing is compared across blocks. Copies are folded before the join and come back by one join per side; a word of
-very many sets is split into cells. Only the counts of frequent words (a fixed number at most) reach the driver.
+very many sets is split into cells. Word counts stay a table; only a sketch of them of fixed size reaches the driver.
 """
 
 from __future__ import annotations
@@ -32,18 +32,6 @@ LEAF, FAN = 32, 8
 THRESHOLD = 0.7
 
 
-def signatures(packed: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """128-bit token bitmap of each set as two uint64, and how many of its words share a bit with another."""
-    words, row, sizes = W.flat(packed)
-    lo, hi = np.zeros(len(packed), np.uint64), np.zeros(len(packed), np.uint64)
-    bit = (words & 127).astype(np.uint64)
-    one = np.left_shift(np.uint64(1), bit & np.uint64(63))
-    starts = np.cumsum(sizes) - sizes
-    lo = np.bitwise_or.reduceat(np.where(bit < 64, one, np.uint64(0)), starts)
-    hi = np.bitwise_or.reduceat(np.where(bit >= 64, one, np.uint64(0)), starts)
-    return lo, hi, sizes - np.bitwise_count(lo).astype(np.int64) - np.bitwise_count(hi).astype(np.int64)
-
-
 def pairs_within(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All i < j inside each range [start, end)."""
     rows = np.concatenate([np.arange(s, e) for s, e in zip(starts.tolist(), ends.tolist())]) if len(starts) else np.zeros(0, np.int64)
@@ -98,31 +86,29 @@ class Tree:
                 stack.append((level - 1, kx[ok], ky[ok]))
 
 
-def similar_in_blocks(batch: pd.DataFrame, t: float, old: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of one block each whose similarity reaches t. old: rows that aren't compared with one another."""
+def similar_in_blocks(batch: pd.DataFrame, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row pairs of one block each whose similarity reaches t, and their common words."""
     block = batch["block"].to_numpy()
     edges = np.flatnonzero(np.diff(block)) + 1
     starts, ends = np.r_[0, edges], np.r_[edges, len(block)]
     many = ends - starts > 1
     starts, ends = starts[many], ends[many]
+    none = np.zeros(0, np.int64)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none, none, none
     side, size, pos = batch["side"].to_numpy(np.int64), batch["size"].to_numpy(np.int64), batch["tree"].to_numpy(np.int64)
-    words = batch["words"].tolist()
-    lo, hi, excess = signatures(batch["words"])
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    words = batch["words"].to_numpy()
+    maps = lo, hi, excess = W.bitmaps(batch["words"])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(none, none, none)]
 
     def settle(i: np.ndarray, j: np.ndarray) -> None:
         ok = ((side[i] == 0) | (side[i] != side[j])) & W.position_bound(t, size[i], size[j], pos[i], pos[j])
         ok &= np.minimum(size[i], size[j]) >= t * np.maximum(size[i], size[j]) - 1e-9
-        if old is not None:
-            ok &= ~(old[i] & old[j])
         i, j = i[ok], j[ok]
-        reach = np.bitwise_count(lo[i] & lo[j]).astype(np.int64) + np.bitwise_count(hi[i] & hi[j]) + np.minimum(excess[i], excess[j])
-        ok = reach >= W.need(t, size[i] + size[j])
+        ok = W.may_share(maps, maps, i, j) >= W.need(t, size[i] + size[j])
         i, j = i[ok], j[ok]
-        ok = W.confirm(words, i, j, pos[i], pos[j], t)
-        found.append((i[ok], j[ok]))
+        ok, both = W.confirm(words, i, j, size, pos[i], t)
+        found.append((i[ok], j[ok], both[ok]))
 
     small = ends - starts <= LEAF
     settle(*pairs_within(starts[small], ends[small]))
@@ -131,41 +117,42 @@ def similar_in_blocks(batch: pd.DataFrame, t: float, old: np.ndarray | None = No
         tree = Tree(lo[by], hi[by], size[by], excess[by], pos[by])
         for i, j in tree.pairs(t):
             settle(by[i], by[j])
-    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+    i, j, both = (np.concatenate(x) for x in zip(*found))
+    return i, j, both
 
 
-def similar_sets(sets: DataFrame, threshold: float, order: W.Order) -> DataFrame:
-    """set_a, set_b, similarity of all pairs of distinct word sets that reach the threshold; sets: set_key, words."""
-    blocks = W.prefix_blocks(sets, order, threshold)
+def similar_sets(sets: DataFrame, threshold: float, counts: DataFrame, cell_sets: int = W.CELL_SETS) -> DataFrame:
+    """set_a, set_b, similarity of all pairs of distinct word sets that reach the threshold; sets: set_key, words; counts: word, n."""
+    blocks = W.in_cells(W.prefix_blocks(sets, W.word_order(counts), threshold), counts, cell_sets)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in W.whole_blocks(batches):
-            i, j = similar_in_blocks(batch, threshold)
-            words = batch["words"].to_numpy()
+            i, j, both = similar_in_blocks(batch, threshold)
+            words, size = batch["words"].to_numpy(), batch["size"].to_numpy(np.int64)
             if len(i):
-                a, b = (np.array([W.set_key(w) for w in words[x]] + [None], dtype=object)[:-1] for x in (i, j))
-                swap = np.array([x > y for x, y in zip(a, b)])
-                sim = [W.jaccard(set(np.frombuffer(words[x], np.int64).tolist()), set(np.frombuffer(words[y], np.int64).tolist())) for x, y in zip(i, j)]
-                yield pd.DataFrame({"set_a": np.where(swap, b, a), "set_b": np.where(swap, a, b), "similarity": sim})
+                keys = {r: W.set_key(words[r]) for r in np.unique(np.r_[i, j]).tolist()}
+                a, b = ([keys[r] for r in x.tolist()] for x in (i, j))
+                yield pd.DataFrame({"set_a": [min(x, y) for x, y in zip(a, b)], "set_b": [max(x, y) for x, y in zip(a, b)], "similarity": both / (size[i] + size[j] - both)})
 
     return blocks.mapInPandas(join, "set_a binary, set_b binary, similarity double")
 
 
-def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame, W.Order]:
-    """(members: id, set_key; sets: set_key, words; order), read from a run in the shared folder: titles are read once.
+def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: id, set_key; sets: set_key, words; counts: word, n), read from runs in the shared folder: titles are read once.
 
-    Words are counted over the rows, copies included: any order is right, and the rows lie there without a shuffle.
+    Words are counted over the rows, which lie there without a shuffle; a count that copies make too large costs no more than
+    a finer split.
     """
     rows = written(W.with_word_sets(df, id_column, title).drop("batch"), "word-sets")
     sets = rows.groupBy("set_key").agg(F.first("words").alias("words"))
-    return rows.select("id", "set_key"), sets, W.word_order(rows)
+    return rows.select("id", "set_key"), sets, W.word_counts(rows)
 
 
 def similar_rows(df: DataFrame, id_column: str, title: str, threshold: float = THRESHOLD) -> DataFrame:
     """id_a < id_b of all rows whose titles reach the threshold, equal titles included."""
-    members, sets, order = word_sets(df, id_column, title)
-    pairs = similar_sets(sets, threshold, order).select("set_a", "set_b")
+    members, sets, counts = word_sets(df, id_column, title)
+    pairs = similar_sets(sets, threshold, counts).select("set_a", "set_b")
     a = members.select(F.col("id").alias("x"), F.col("set_key").alias("set_a"))
     b = members.select(F.col("id").alias("y"), F.col("set_key").alias("set_b"))
     across = pairs.join(a, "set_a").join(b, "set_b").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
@@ -180,9 +167,9 @@ def similar_groups(df: DataFrame, id_column: str, title: str, threshold: float =
 
     Distinct sets are linked, each named by its least id, so copies are counted and never paired.
     """
-    members, sets, order = word_sets(df, id_column, title)
+    members, sets, counts = word_sets(df, id_column, title)
     heads = written(members.groupBy("set_key").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "set-heads")
-    pairs = similar_sets(sets, threshold, order).select("set_a", "set_b")
+    pairs = similar_sets(sets, threshold, counts).select("set_a", "set_b")
     a, b = (heads.select(F.col("set_key").alias(f"set_{x}"), F.col("head").alias(f"head_{x}"), F.col("copies").alias(f"copies_{x}")) for x in "ab")
     linked = written(pairs.join(a, "set_a").join(b, "set_b"), "set-links")
     both = linked.select(F.col("head_a").alias("head"), F.col("copies_b").alias("n")).unionByName(linked.select(F.col("head_b").alias("head"), F.col("copies_a").alias("n")))

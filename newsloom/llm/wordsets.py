@@ -5,13 +5,12 @@ each Han character a word of its own. Words are compared by 64-bit hashes, equal
 
 Exactness. Two sets x, y of Jaccard similarity >= t share at least a = ceil(t/(1+t) * (|x|+|y|)) words. In any common
 order of all words they then share one among the first |x| - ceil(t*|x|) + 1 words of x and the like of y, so blocks of
-sets with equal prefix words lose no pair. The order is rare words first; it needs the counts of the frequent words only:
-those with at least 1/MAX_HEAVY of all postings, hence at most MAX_HEAVY words whatever the corpus.
+sets with equal prefix words lose no pair. The order is rare words first. It needs the
+counts of all words, which stand in a table; what travels is a sketch of them of fixed size (see Order).
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -24,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import lookalike
+from newsloom.session import written
 
-#: At most so many words have counts that travel to the driver and to every task.
-MAX_HEAVY = 20_000
+#: Cells of the sketch of word counts, as a power of two: 4 MB whatever the corpus; more cells tell more words apart.
+SKETCH_BITS = 22
 #: A prefix word of more sets than this is split into a grid of cells.
 CELL_SETS = 20_000
+#: Words that a task counts at once.
+COUNTED = 4_000_000
 _HAN = re.compile("([⺀-⿟々-〇㐀-䶿一-鿿豈-﫿\U00020000-\U0003fffd])")
 _RUN = re.compile(r"[^\W_]+")
 
@@ -70,79 +72,99 @@ def need(t: float, sizes: np.ndarray) -> np.ndarray:
     return np.ceil(t / (1 + t) * sizes - 1e-9).astype(np.int64)
 
 
-def with_word_sets(df: DataFrame, id_column: str, title: str, batch_column: str | None = None) -> DataFrame:
-    """id, set_key binary(16), words binary (sorted 64-bit hashes), batch int; rows without a word are left out, they resemble none."""
+SET_SCHEMA = "id bigint, set_key binary, words binary, batch int"
+
+
+def set_hasher():
+    """Function of a frame (id, batch, title) that gives id, set_key, words (sorted 64-bit hashes), batch; rows without a word are left out."""
+    seen: dict[str, int] = {}
+
+    def hashed(batch: pd.DataFrame) -> pd.DataFrame:
+        if len(seen) > 500_000:
+            seen.clear()
+        ids, numbers, keys, packed = [], [], [], []
+        for i, n, title_ in zip(batch["id"], batch["batch"], batch["title"]):
+            if title_ is None:
+                continue
+            hashes = []
+            for w in title_words(title_):
+                h = seen.get(w)
+                if h is None:
+                    h = seen[w] = xxhash.xxh3_64_intdigest(w) >> 1
+                hashes.append(h)
+            if hashes:
+                p = np.unique(np.array(hashes, np.int64)).tobytes()
+                ids.append(i)
+                numbers.append(n)
+                packed.append(p)
+                keys.append(xxhash.xxh3_128_digest(p))
+        return pd.DataFrame({"id": np.array(ids, np.int64), "set_key": pd.Series(keys, dtype=object), "words": pd.Series(packed, dtype=object), "batch": np.array(numbers, np.int32)})
+
+    return hashed
+
+
+def with_word_sets(df: DataFrame, id_column: str, title: str) -> DataFrame:
+    """id, set_key binary(16), words binary (sorted 64-bit hashes), batch 0; rows without a word are left out, they resemble none."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, int] = {}
-        for batch in batches:
-            if len(seen) > 500_000:
-                seen.clear()
-            ids, numbers, keys, packed = [], [], [], []
-            for i, n, title_ in zip(batch["id"], batch["batch"], batch["title"]):
-                if title_ is None:
-                    continue
-                hashes = []
-                for w in title_words(title_):
-                    h = seen.get(w)
-                    if h is None:
-                        h = seen[w] = xxhash.xxh3_64_intdigest(w) >> 1
-                    hashes.append(h)
-                if hashes:
-                    p = np.unique(np.array(hashes, np.int64)).tobytes()
-                    ids.append(i)
-                    numbers.append(n)
-                    packed.append(p)
-                    keys.append(xxhash.xxh3_128_digest(p))
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "set_key": pd.Series(keys, dtype=object), "words": pd.Series(packed, dtype=object), "batch": np.array(numbers, np.int32)})
-
-    number = F.coalesce(F.col(batch_column).cast("int"), F.lit(0)) if batch_column else F.lit(0)
-    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(title).alias("title"), number.alias("batch"))
-    return rows.mapInPandas(hashed, "id bigint, set_key binary, words binary, batch int")
+        return map(set_hasher(), batches)
+
+    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(title).alias("title"), F.lit(0).alias("batch"))
+    return rows.mapInPandas(hashed, SET_SCHEMA)
 
 
 @dataclass(frozen=True)
 class Order:
-    """Rare-first order: words that aren't listed come first, by hash; then the listed by count."""
+    """Rare-first order of all words: by the count class of the word's cell in a count sketch, then by a hash.
 
-    words: np.ndarray  # sorted
-    ranks: np.ndarray
-    cells: np.ndarray  # into how many groups the sets of the word are split
+    A sketch cell never holds less than its word's count, and any common order is right, so collisions cost time only. The
+    sketch has a fixed number of cells of one byte, whatever the corpus.
+    """
+
+    cells: np.ndarray  # uint8, a power of two of them
 
     def rank(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.ranks[at], 0)
+        return self.cells[words & (len(self.cells) - 1)]
 
-    def split(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.ones(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.cells[at], 1)
 
+def word_counts(rows: DataFrame) -> DataFrame:
+    """word, n of every word over the sets of rows (set_key, words); a table in the shared folder, of which nothing goes to the driver.
 
-def word_order(sets: DataFrame, max_heavy: int = MAX_HEAVY, cell_sets: int = CELL_SETS) -> Order:
-    """Counts every word over all sets; only the frequent ones come to the driver (at most max_heavy, see above)."""
+    Copies of a set count once in a stretch of some COUNTED words of a task, so that a title of very many rows doesn't make
+    its words look like words of very many sets.
+    """
 
     def postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # counted per task first: one row per distinct word of the task, of which there are at most its postings
-        count: dict[int, int] = {}
+        held: list[pd.DataFrame] = []
+        size = 0
+
+        def counted() -> pd.DataFrame:
+            stretch = pd.concat(held) if held else pd.DataFrame({"set_key": [], "words": []})
+            keys = np.frombuffer(b"".join(stretch["set_key"]), np.int64)[::2]
+            _, one = np.unique(keys, return_index=True)
+            w, n = np.unique(np.frombuffer(b"".join(stretch["words"].to_numpy()[one]), np.int64), return_counts=True)
+            return pd.DataFrame({"word": w, "n": n})
+
         for batch in batches:
-            w, n = np.unique(np.frombuffer(b"".join(batch["words"]), np.int64), return_counts=True)
-            for x, k in zip(w.tolist(), n.tolist()):
-                count[x] = count.get(x, 0) + k
-            if len(count) > 1_000_000:
-                yield pd.DataFrame({"word": np.fromiter(count, np.int64, len(count)), "n": np.fromiter(count.values(), np.int64, len(count))})
-                count = {}
-        yield pd.DataFrame({"word": np.fromiter(count, np.int64, len(count)), "n": np.fromiter(count.values(), np.int64, len(count))})
-
-    total = sets.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    least = max(2, math.ceil(total / 8 / max_heavy))
-    heavy = sets.select("words").mapInPandas(postings, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    heavy = heavy.sort_values("word")
-    n = heavy["n"].to_numpy(np.int64)
-    return Order(heavy["word"].to_numpy(np.int64), n, np.maximum(1, -(-n // cell_sets)))
+            held.append(batch)
+            size += sum(map(len, batch["words"])) // 8
+            if size > COUNTED:
+                yield counted()
+                held, size = [], 0
+        yield counted()
+
+    counts = rows.select("set_key", "words").mapInPandas(postings, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return written(counts, "word-counts")
+
+
+def word_order(counts: DataFrame, bits: int = SKETCH_BITS) -> Order:
+    """The sketch of word counts: at most 2**bits cells come to the driver, a class of a quarter octave each."""
+    cell = F.col("word").bitwiseAND(F.lit((1 << bits) - 1))
+    kind = F.ceil(4 * F.log2(F.sum("n"))).cast("int")
+    found = counts.groupBy(cell.cast("int").alias("cell")).agg(kind.alias("kind")).where("kind > 0").toPandas()
+    cells = np.zeros(1 << bits, np.uint8)
+    cells[found["cell"].to_numpy(np.int64)] = np.minimum(found["kind"].to_numpy(np.int64), 255)
+    return Order(cells)
 
 
 def flat(packed: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,12 +176,13 @@ def flat(packed: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def ordered(packed: pd.Series, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As flat, with every row's words in the order, and each word's position."""
     words, row, sizes = flat(packed)
-    by = np.lexsort((words, order.rank(words), row))
+    # ties by another hash of the word: the least hashes of all sets would crowd into the first files of a run
+    by = np.lexsort((words * np.int64(0x5851F42D4C957F2D), order.rank(words), row))
     starts = np.cumsum(sizes) - sizes
     return words[by], row, sizes, np.arange(len(words)) - np.repeat(starts, sizes)
 
 
-BLOCK_SCHEMA = "block bigint, side int, tree int, size int, words binary"
+BLOCK_SCHEMA = "block bigint, tree int, size int, words binary"
 
 
 def set_key(words: bytes) -> bytes:
@@ -167,11 +190,14 @@ def set_key(words: bytes) -> bytes:
     return xxhash.xxh3_128_digest(np.sort(np.frombuffer(words, np.int64)).tobytes())
 
 
+def prefix_length(threshold: float, sizes: np.ndarray) -> np.ndarray:
+    """How many words of a set's order reach every similar set."""
+    return sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
+
+
 def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str = "") -> DataFrame:
-    """One row per set and prefix word: block (the word, or a cell of it), side, tree (position in the order), size, words in order.
+    """One row per set and prefix word: block (the word), tree (its position in the order), size, words in order.
 
-    A word of many sets is split: its sets fall into g groups, and cell (i, j) holds groups i and j, so that each pair of
-    sets meets in just one cell; side tells the two groups of a mixed cell apart (0: all pairs of the cell count).
     extra names a column that is carried along.
     """
 
@@ -180,34 +206,33 @@ def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str =
             if not len(batch):
                 continue
             words, row, sizes, pos = ordered(batch["words"], order)
-            prefix = sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
             ends = np.cumsum(sizes)
             data = words.tobytes()
             sorted_words = np.array([data[8 * (e - s) : 8 * e] for s, e in zip(sizes.tolist(), ends.tolist())] + [b""], dtype=object)[:-1]
-            keep = np.flatnonzero(pos < prefix[row])
-            w, r, p = words[keep], row[keep], pos[keep]
-            g = order.split(w)
-            block, side = w.copy(), np.zeros(len(w), np.int32)
-            if (g > 1).any():
-                keys = np.array([int.from_bytes(k[:4], "little") for k in batch["set_key"]], np.int64)[r]
-                rep = np.repeat(np.arange(len(w)), g)
-                j = np.arange(len(rep)) - np.repeat(np.cumsum(g) - g, g)
-                own = keys[rep] % g[rep]
-                lo, hi = np.minimum(own, j), np.maximum(own, j)
-                split = g[rep] > 1
-                cell = ((w[rep] * np.int64(0x9E3779B97F4A7C1 | 1)) ^ (lo << 20) ^ hi) * np.int64(0x5851F42D4C957F2D)
-                block = np.where(split, cell, w[rep])
-                side = np.where(split & (lo != hi), np.where(own == lo, 1, 2), 0).astype(np.int32)
-                r, p = r[rep], p[rep]
-            out = {"block": block, "side": side, "tree": p.astype(np.int32), "size": sizes[r].astype(np.int32), "words": sorted_words[r]}
+            keep = np.flatnonzero(pos < prefix_length(threshold, sizes)[row])
+            r = row[keep]
+            out = {"block": words[keep], "tree": pos[keep].astype(np.int32), "size": sizes[r].astype(np.int32), "words": sorted_words[r]}
             if extra:
                 out[extra] = batch[extra].to_numpy()[r]
             yield pd.DataFrame(out)
 
-    kept = ["set_key", "words", *([extra] if extra else [])]
     kind = f", {extra} {dict(sets.dtypes)[extra]}" if extra else ""
-    with np.errstate(over="ignore"):
-        return sets.select(*kept).mapInPandas(emit, BLOCK_SCHEMA + kind)
+    return sets.select("words", *([extra] if extra else [])).mapInPandas(emit, BLOCK_SCHEMA + kind)
+
+
+def in_cells(blocks: DataFrame, counts: DataFrame, cell_sets: int = CELL_SETS) -> DataFrame:
+    """blocks with a column side, the blocks of words in more than cell_sets sets split, wherever such a word stands in the order.
+
+    The sets of such a word fall into g groups, and cell (i, j) holds groups i and j, so that each pair of sets meets in
+    just one cell; side tells the two groups of a mixed cell apart (0: all pairs of the cell count). The words to split are
+    a table that is joined: Spark broadcasts it or not by its size.
+    """
+    hot = counts.where(F.col("n") > cell_sets).select(F.col("word").alias("block"), F.ceil(F.col("n") / cell_sets).cast("int").alias("groups"))
+    rows = blocks.join(hot, "block", "left").withColumn("own", F.coalesce(F.pmod(F.xxhash64("words"), F.col("groups")), F.lit(0)).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1)).alias("other"))
+    cell = F.when(F.col("groups").isNull(), F.col("block")).otherwise(F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return rows.select(cell.alias("block"), side.alias("side"), "tree", "size", "words")
 
 
 def whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,19 +260,57 @@ def position_bound(t: float, sa, sb, pa, pb) -> np.ndarray:
     return np.minimum(sa - pa, sb - pb) >= need(t, sa + sb)
 
 
-def confirm(words: list, i: np.ndarray, j: np.ndarray, pi: np.ndarray, pj: np.ndarray, t: float) -> np.ndarray:
-    """Exact check of row pairs; a pair counts only in the block of its first common word, so it is reported once."""
-    ok = np.zeros(len(i), bool)
-    sets: dict[int, tuple[list[int], frozenset]] = {}
-
-    def of(r: int) -> tuple[list[int], frozenset]:
-        if r not in sets:
-            w = np.frombuffer(words[r], np.int64).tolist()
-            sets[r] = (w, frozenset(w))
-        return sets[r]
-
-    for k, (a, b, p) in enumerate(zip(i.tolist(), j.tolist(), pi.tolist())):
-        (wa, xa), (_, xb) = of(a), of(b)
-        both = len(xa & xb)
-        ok[k] = both >= t * (len(xa) + len(xb) - both) - 1e-9 and not any(w in xb for w in wa[:p])
-    return ok
+def bitmaps(packed: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit token bitmap of each set as two uint64, and how many of its words share a bit with another."""
+    words, _, sizes = flat(packed)
+    bit = (words & 127).astype(np.uint64)
+    one = np.left_shift(np.uint64(1), bit & np.uint64(63))
+    starts = np.cumsum(sizes) - sizes
+    lo = np.bitwise_or.reduceat(np.where(bit < 64, one, np.uint64(0)), starts)
+    hi = np.bitwise_or.reduceat(np.where(bit >= 64, one, np.uint64(0)), starts)
+    return lo, hi, sizes - np.bitwise_count(lo).astype(np.int64) - np.bitwise_count(hi).astype(np.int64)
+
+
+def may_share(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The most words that sets i of a and j of b can share by their bitmaps."""
+    (alo, ahi, aex), (blo, bhi, bex) = a, b
+    return np.bitwise_count(alo[i] & blo[j]).astype(np.int64) + np.bitwise_count(ahi[i] & bhi[j]) + np.minimum(aex[i], bex[j])
+
+
+def overlaps(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, before: np.ndarray | None = None, words_at_once: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Exact number of common words of sets a[i] and b[j], and whether one stands among the first before[k] of a[i]."""
+    common, early = np.zeros(len(i), np.int64), np.zeros(len(i), bool)
+    if not len(i):
+        return common, early
+    ui, i = np.unique(i, return_inverse=True)
+    uj, j = np.unique(j, return_inverse=True)
+    wa, _, na = flat(a[ui])
+    wb, rb, nb = flat(b[uj])
+    letters, wb = np.unique(wb, return_inverse=True)
+    at = np.minimum(np.searchsorted(letters, wa), len(letters) - 1)
+    wa = np.where(letters[at] == wa, at, -1)
+    keys = np.sort(rb * np.int64(len(letters)) + wb)
+    starts = np.cumsum(na) - na
+    ends = np.cumsum(na[i])
+    lo = 0
+    while lo < len(i):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + words_at_once, side="right")))
+        n = na[i[lo:hi]]
+        own = np.repeat(np.arange(lo, hi), n)
+        first = np.cumsum(n) - n
+        place = np.arange(len(own)) - np.repeat(first, n)
+        word = wa[starts[i[own]] + place]
+        key = j[own] * np.int64(len(letters)) + word
+        found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = (word >= 0) & (keys[found] == key)
+        common[lo:hi] = np.add.reduceat(hit, first)
+        if before is not None:
+            early[lo:hi] = np.logical_or.reduceat(hit & (place < before[own]), first)
+        lo = hi
+    return common, early
+
+
+def confirm(words: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarray, pi: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Exact check of row pairs, and their common words; a pair counts only in the block of its first common word."""
+    both, early = overlaps(words, words, i, j, pi)
+    return (both >= t * (size[i] + size[j] - both) - 1e-9) & ~early, both

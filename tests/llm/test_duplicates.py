@@ -1,7 +1,9 @@
 """Near-duplicate titles, the hash forest and consensus records against brute force."""
 
+import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from newsloom.llm import consensus, forest, sigtree, wordsets
@@ -61,10 +63,10 @@ def test_hot_words_in_cells_and_deep_trees(spark):
     distinct = sorted(set(s), key=sorted)
     rows = sigtree.W.with_word_sets(spark.createDataFrame(list(enumerate(texts)), "id bigint, title string"), "id", "title")
     sets = rows.groupBy("set_key").agg(F.first("words").alias("words"))
-    order = wordsets.word_order(rows, cell_sets=20)
-    assert order.cells.max() > 3
+    counts = wordsets.word_counts(rows)
+    assert counts.where("n > 60").count() > 3  # words that get more than three groups of 20
     want = sum(1 for i, a in enumerate(distinct) for b in distinct[i + 1 :] if wordsets.jaccard(a, b) >= 0.7 - 1e-9)
-    got = sigtree.similar_sets(sets, 0.7, order).collect()
+    got = sigtree.similar_sets(sets, 0.7, counts, cell_sets=20).collect()
     assert len(got) == len({(bytes(r["set_a"]), bytes(r["set_b"])) for r in got}) == want > 20
 
 
@@ -89,18 +91,55 @@ def test_repeats_whole_and_batch_by_batch(spark):
     got = {r["id"]: r["first_id"] for r in forest.repeats(df, id_column="article_id", batch="batch_no", title="title", link="link").collect()}
     assert got == want and len(want) > 40
     by_title = brute_repeats([(a, b, c, None) for a, b, c, _ in rows], sets_of([r[2] for r in rows]))
-    rows_ = forest.title_rows(df, "article_id", "batch_no", "title")
+    rows_ = forest.article_sets(df.withColumn("link", F.lit(None).cast("string")), id_column="article_id", batch="batch_no", title="title", link="link")
     f = forest.HashForest.founded(rows_.where("batch = 0"))
     step = {}
     for b in (1, 2, 3):
-        new = rows_.where(F.col("batch") == b)
-        step |= {r["id"]: r["first_id"] for r in f.first_similar(new).collect()}
-        f.accept(new)
+        step |= {r["id"]: r["first_id"] for r in f.arrive(rows_.where(F.col("batch") == b)).collect()}
         if b == 2:
-            f.merge()
+            f.merge(spark)
             assert len(f.runs) == 1
+            f = forest.HashForest.open(f.path)  # saved and opened again
     assert step == by_title
-    assert f.first_similar(rows_.limit(0)).count() == 0
+    assert f.arrive(rows_.limit(0)).count() == 0
+
+
+def test_forest_widens_to_the_recall_target(spark):
+    sizes = np.arange(1, 60)
+    whole = forest.widened(sizes, 0.7, 1.0)
+    for recall in (0.5, 0.9, 0.99):
+        m = forest.widened(sizes, 0.7, recall)
+        assert (m >= 1).all() and (m <= whole).all()
+        for n, k in zip(sizes.tolist(), m.tolist()):
+            free = n - math.ceil(0.7 * n - 1e-9)
+            miss = lambda w: math.comb(free, w) / math.comb(n, w)
+            assert miss(k) <= 1 - recall + 1e-12 and (k == 1 or miss(k - 1) > 1 - recall)
+    texts = titles(5, 300)
+    rows = [(i, int(i >= 200), t, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "article_id bigint, batch_no int, title string, link string")
+    want = brute_repeats(rows, sets_of(texts))
+    found = {r["id"]: r["first_id"] for r in forest.repeats(df, id_column="article_id", batch="batch_no", title="title", link="link", recall=0.9).collect()}
+    assert set(found) <= set(want) and len(found) >= 0.9 * len(want)
+
+
+def test_range_search_reads_only_what_it_needs(spark):
+    rows = [(i, 0, f"alpha{i} beta{i} gamma{i}", None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "article_id bigint, batch_no int, title string, link string")
+    sets = forest.article_sets(df, id_column="article_id", batch="batch_no", title="title", link="link")
+    f = forest.HashForest.founded(sets)
+    entries = f._entries(f.runs[0], spark).orderBy("block").toPandas()
+    search = forest.RangeSearch(f.runs, 0.7)
+    some = entries.iloc[:1].reset_index(drop=True)
+    assert search.least_ids(some)[0, 0] == some["first_id"][0]
+    assert 0 < search.read <= len(entries) / 4  # one file of eight
+
+
+def test_titles_of_a_hot_word_and_hot_title(spark):
+    texts = ["hot one two"] * 150 + [f"hot filler{i} more{i}" for i in range(150)] + ["one hot two"] * 5
+    rows = [(i, i % 3, t, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "article_id bigint, batch_no int, title string, link string")
+    got = {r["id"]: r["first_id"] for r in forest.repeats(df, id_column="article_id", batch="batch_no", title="title", link="link").collect()}
+    assert got == brute_repeats(rows, sets_of(texts))
 
 
 def test_best_records(spark):
