@@ -46,11 +46,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests) a folder of our own."""
-    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
-    if set_by_cluster:
-        base = set_by_cluster
-    else:
+    """The folder in spark.checkpoint.dir; only in a local session that doesn't set it (tests) a folder of our own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "newsloom-shared")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
@@ -63,11 +63,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str, *, sort: list[str] | None = None) -> DataFrame:
-    """Write a run of an index to the shared folder and read it back: it outlives any executor.
+def run_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder: what is written there outlives any executor."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    With sort, each file is sorted by these columns, so that row-group statistics let a range search skip.
+
+def until_exit(spark: SparkSession, path: str) -> str:
+    """Have a path that is there deleted when the driver's JVM ends."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def written(df: DataFrame, name: str, *, partition: list[str] | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: it is computed once, and no lost executor takes it away.
+
+    partition: columns whose values get folders of their own. The table is deleted when the driver ends.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = run_path(df.sparkSession, name)
+    df.write.partitionBy(*(partition or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(until_exit(df.sparkSession, path))
