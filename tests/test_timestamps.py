@@ -1,6 +1,7 @@
 """Timestamp normalisation: forms, zones, clock changes, estimation, edge cases."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +71,25 @@ def test_missing_zone_is_estimated(spark):
     assert all(r["ts_second"] == int(datetime(2025, 10, r["id"] + 1, 12, tzinfo=timezone.utc).timestamp()) for r in out)
 
 
+def test_a_source_that_moved_has_a_history(spark):
+    # Tokyo until December, then New York; each reading was fetched within minutes
+    zone = lambda i: "Asia/Tokyo" if i < 60 else "America/New_York"
+    start = datetime(2025, 10, 2, 12, tzinfo=timezone.utc)
+    times = [start + timedelta(days=i) for i in range(120)]
+    rows = [(i, t.astimezone(ZoneInfo(zone(i))).strftime("%Y-%m-%d %H:%M:%S"), "new", (t + timedelta(minutes=3)).replace(tzinfo=None)) for i, t in enumerate(times)]
+    rows += [(1000 + i, t.strftime("%Y-%m-%dT%H:%M:%SZ"), "new", (t + timedelta(minutes=4)).replace(tzinfo=None)) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "id int, date string, source_id string, fetched timestamp")
+    catalogue = zones(spark, [("a", "Asia/Tokyo"), ("b", "America/New_York"), ("c", "UTC")])
+    out = T.normalize_timestamps(df, value="date", fetched="fetched", key="source_id", zones=catalogue, zone_key="source_id", zone="tz").collect()
+    assert all(r["ts_second"] == int(times[r["id"] % 1000].timestamp()) for r in out) and len(out) == 240
+
+
+def test_estimates_agree_with_declared_zones(spark, tables):
+    rows = T.p3_estimated_zones(spark, tables.replace("sf0.001", "sf0.01")).collect()
+    enough = [r for r in rows if r["readings"] >= 5]
+    assert len(enough) > 20 and sum(r["same"] == r["readings"] for r in enough) >= 0.9 * len(enough)
+
+
 def test_null_key_empty_table_repeats_and_clash(spark):
     out = normalized(spark, ["2025-10-01T00:00:00Z", "2025-10-01T00:00:00Z", None], key=None).collect()
     assert len(out) == 3 and [r["ts_second"] is None for r in sorted(out, key=lambda r: r["id"])] == [False, False, True]
