@@ -10,6 +10,7 @@ def queries() -> dict:
         "p1_found": forest.p1_found,
         "p1_batches": forest.p1_batches,
         "p2_found": lookalike.p2_found,
+        "p2_classes": lookalike.p2_classes,
         "p2_forms": lookalike.p2_forms,
         "p4_found": address.p4_found,
         "p4_records": address.p4_records,

@@ -41,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm import lookalike
 from newsloom.llm import wordsets as W
 from newsloom.llm.address import with_address
 from newsloom.session import run_path, until_exit, written
@@ -278,7 +279,7 @@ def article_sets(df: DataFrame, *, id_column: str, batch: str, title: str, link:
     number = F.coalesce(F.col(batch).cast("int"), F.lit(0))
     named = df.select(F.col(id_column).cast("bigint").alias("id"), number.alias("batch"), F.col(title).cast("string").alias("title"), F.col(link).cast("string").alias("link"))
     rows = with_address(named, "link").select("id", "batch", "title", "address")
-    titles = W.set_hasher()
+    titles = W.set_hasher(lookalike.public_shapes(df.sparkSession))
 
     def both(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:

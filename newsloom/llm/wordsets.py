@@ -29,6 +29,7 @@ from newsloom.session import written
 SKETCH_BITS = 22
 #: A prefix word of more sets than this is split into a grid of cells.
 CELL_SETS = 20_000
+RARE = 8
 #: Words that a task counts at once.
 COUNTED = 4_000_000
 _HAN = re.compile("([⺀-⿟々-〇㐀-䶿一-鿿豈-﫿\U00020000-\U0003fffd])")
@@ -41,23 +42,21 @@ class _Expander(dict):
         return self[cp]
 
 
-_expand, _shapes = _Expander(), None
+_expand = _Expander()
+_listed = {ord(o): x for o, x in lookalike.listed_shapes().items()}
 
 
-def title_words(title: str) -> list[str]:
+def title_words(title: str, shapes: dict[int, str] = _listed) -> list[str]:
     """Distinct words, sorted. A word of another script is lowered before its look-alike letters are read as Latin."""
-    global _shapes
     if title.isascii():
         return sorted(set(_RUN.findall(title.lower())))
-    if _shapes is None:
-        _shapes = {ord(o): x for x, others in lookalike.SAME_SHAPE.items() for o in others}
     text = unicodedata.normalize("NFD", title.translate(_expand))
     out = set()
     for word in _RUN.findall(_HAN.sub(r" \1 ", unicodedata.normalize("NFC", text))):
         if not word.isascii():
-            read = unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(_shapes))
+            read = unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(shapes))
             if not (read.isascii() or any("a" <= c.lower() <= "z" for c in word)):
-                read = unicodedata.normalize("NFC", unicodedata.normalize("NFD", word.casefold()).translate(_shapes))
+                read = unicodedata.normalize("NFC", unicodedata.normalize("NFD", word.casefold()).translate(shapes))
             word = read
         out.add(word.casefold())
     return sorted(out)
@@ -75,9 +74,10 @@ def need(t: float, sizes: np.ndarray) -> np.ndarray:
 SET_SCHEMA = "id bigint, set_key binary, words binary, batch int"
 
 
-def set_hasher():
-    """Function of a frame (id, batch, title) that gives id, set_key, words (sorted 64-bit hashes), batch; rows without a word are left out."""
+def set_hasher(shapes: dict[str, str]):
+    """shapes: as lookalike.public_shapes gives them. Function of a frame (id, batch, title) that gives id, set_key, words (sorted 64-bit hashes), batch; rows without a word are left out."""
     seen: dict[str, int] = {}
+    table = {ord(o): x for o, x in shapes.items()}
 
     def hashed(batch: pd.DataFrame) -> pd.DataFrame:
         if len(seen) > 500_000:
@@ -87,7 +87,7 @@ def set_hasher():
             if title_ is None:
                 continue
             hashes = []
-            for w in title_words(title_):
+            for w in title_words(title_, table):
                 h = seen.get(w)
                 if h is None:
                     h = seen[w] = xxhash.xxh3_64_intdigest(w) >> 1
@@ -106,8 +106,10 @@ def set_hasher():
 def with_word_sets(df: DataFrame, id_column: str, title: str) -> DataFrame:
     """id, set_key binary(16), words binary (sorted 64-bit hashes), batch 0; rows without a word are left out, they resemble none."""
 
+    shapes = lookalike.public_shapes(df.sparkSession)
+
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return map(set_hasher(), batches)
+        return map(set_hasher(shapes), batches)
 
     rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(title).alias("title"), F.lit(0).alias("batch"))
     return rows.mapInPandas(hashed, SET_SCHEMA)
@@ -158,10 +160,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def word_order(counts: DataFrame, bits: int = SKETCH_BITS) -> Order:
-    """The sketch of word counts: at most 2**bits cells come to the driver, a class of a quarter octave each."""
+    """The sketch of word counts: at most 2**bits cells come to the driver, a class of a quarter octave each.
+
+    Cells of fewer than RARE counts are one class: their blocks are small however they are ordered.
+    """
     cell = F.col("word").bitwiseAND(F.lit((1 << bits) - 1))
     kind = F.ceil(4 * F.log2(F.sum("n"))).cast("int")
-    found = counts.groupBy(cell.cast("int").alias("cell")).agg(kind.alias("kind")).where("kind > 0").toPandas()
+    found = counts.groupBy(cell.cast("int").alias("cell")).agg(kind.alias("kind")).where(F.col("kind") >= 4 * np.log2(RARE)).toPandas()
     cells = np.zeros(1 << bits, np.uint8)
     cells[found["cell"].to_numpy(np.int64)] = np.minimum(found["kind"].to_numpy(np.int64), 255)
     return Order(cells)

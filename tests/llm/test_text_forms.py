@@ -53,6 +53,41 @@ def test_pairs_edge_cases(spark):
         lookalike.with_form(df, "title", "form")
 
 
+def test_classes_say_what_the_pairs_say(spark):
+    texts = ["Leaked x", "Leаked x", "Leaked x", None, "", "\u200b", "leaked x", "ﬁne", "fine", "alone", "ｆine", "alone"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, title string").withColumn("class_id", F.lit(1))
+    got = {r["id"]: (r["class_id"], r["rows"], r["variants"]) for r in lookalike.look_alike_classes(df, "id", "title").collect()}
+    assert got == {0: (0, 3, 2), 1: (0, 3, 2), 2: (0, 3, 2), 7: (7, 3, 3), 8: (7, 3, 3), 10: (7, 3, 3)}
+    assert lookalike.look_alike_classes(df.limit(0), "id", "title").count() == 0
+
+
+def test_one_fit_for_several_columns_saved_and_loaded(spark, tmp_path):
+    a = spark.createDataFrame([("оооо: a",), ("ｘ：",)], "t string")
+    b = spark.createDataFrame([("oo: a",), ("x:",), (None,)], "u string")
+    rules = lookalike.fit((a, "t"), (b, "u"))
+    lookalike.save_rules(spark, rules, f"file://{tmp_path}/rules")
+    assert lookalike.load_rules(spark, f"file://{tmp_path}/rules") == rules
+    forms = lambda d, c: [r["f"] for r in lookalike.with_form(d, c, "f", rules).collect()]
+    assert forms(a, "t")[1] == forms(b, "u")[1] and forms(a, "t")[0][0] == forms(b, "u")[0][0] and forms(b, "u")[2] is None
+
+
+def test_no_text_has_two_forms(spark, tables):
+    rows = lookalike.p2_forms(spark, tables).where("text is not null").select("text", "form").distinct()
+    assert rows.groupBy("text").count().where("count > 1").count() == 0
+
+
+def test_public_shapes_keep_case_and_digits_apart(spark):
+    shapes = lookalike.public_shapes(spark)
+    assert shapes["а"] == "a" and shapes["А"] == "A" and shapes["Ꭺ"] == "A" and len(shapes) > 200
+    assert all(x.isascii() and o.islower() == x.islower() for o, x in shapes.items() if x.isalpha() and o.islower() != o.isupper())
+    assert not set(shapes) & set("0123456789éßøæ")
+
+
+def test_strings_are_nodes():
+    classes = lookalike.shape_classes({"ﬁ": 9, "f": 1, "i": 1, "é": 2})
+    assert classes.find("ﬁ") == classes.find("fi") == "fi" and classes.find("é") == "e\u0301"
+
+
 LINKS = [
     "https://www.a.example/x/y-z?id=1&lang=en", " HTTP://A.example:80/x/y_z/?lang=en&id=1#top", "(//a.example/x/y.z?utm_source=q&id=1&lang=en)", "a.example/X/y%2Dz?id=1&amp;lang=en&ref",
     "https://a.example/x/y-z?id=2&lang=en", "https://b.example/x/y-z?id=1&lang=en", "https://a.example/x/y?id=1&lang=en", None, "", "   ", "https://a.example/%zz", "https://a.example/" + "w/" * 20_000,
