@@ -1,7 +1,8 @@
 """Best representative of each duplicate group: the record to keep, and the best value field by field.
 
 The record to keep is the one of highest trust, then latest, then lowest id. Beside it each field gets a consensus: the
-group's distinct values of the field, weighted by copies and trust, are split into tokens and aligned progressively into
+group's distinct values of the field, weighted by copies, trust and recency (a record counts 1 + trust/10, and up to 0.1
+more the later it stands between the group's first and last), are split into tokens and aligned progressively into
 columns; every column takes the token (or gap) of most weight; the existing value closest to the row of winning tokens is
 emitted. A field of one distinct value needs no vote. A null or blank value has no vote, so that the fuller record's value
 survives; a field that no record fills stays null.
@@ -11,9 +12,12 @@ Ties: equal weights in a column take the smaller token; equal distances the heav
 Defined results: rows with a null key are in no group; a group of one is its own representative; equal rows vote twice;
 an unreadable date counts as earliest, a missing trust as its default; an empty table gives an empty result.
 
-Scale: a group's distinct values are weighted by a map-side combined aggregation. Values of one field are aligned in
-chunks of at most CHUNK; the profiles of the chunks are aligned again, round by round, so no task ever holds an unbounded
-group. Distances are measured value by value after a join with the consensus.
+Order of alignment: a field's values stand in the order of the least hash of their tokens, then of the value, so that values
+with much in common are near each other. CHUNK neighbours are aligned (heaviest and longest first), then CHUNK neighbouring
+profiles, and so on: one tree over one order, whatever a group's size.
+
+Scale: a group's distinct values are weighted by a map-side combined aggregation and ranked without any task that holds a
+group; no alignment has more than CHUNK members. Distances are measured value by value after a join with the consensus.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.numbers import normalize_priority
 from newsloom.llm.address import KEYS, with_address
+from newsloom.llm.tokens import GROUP_ROWS, numbered
 from newsloom.operators.timestamps import normalize_timestamps
 from newsloom.session import written
 
@@ -79,16 +84,16 @@ def distance(value: str, consensus: list[str]) -> float:
 
 
 def _align(rows: DataFrame, keys: list[str], from_profile: bool) -> DataFrame:
-    """rows keys, chunk, value|profile, weight -> keys, profile: one per (keys, chunk)."""
-    schema = ", ".join(f"{k} {dict(rows.dtypes)[k]}" for k in keys) + ", profile string"
+    """rows keys, chunk, value|profile, weight -> keys, chunk, profile: one per (keys, chunk)."""
     cols = [*keys, "chunk"]
+    schema = ", ".join(f"{k} {dict(rows.dtypes)[k]}" for k in cols) + ", profile string"
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held = None, []
 
         def flush() -> pd.DataFrame:
             profiles = [json.loads(p) for p in held] if from_profile else [[{t: w} for t in tokens(v)] for v, w in held]
-            return pd.DataFrame([[*at[:-1], json.dumps(progressive([p for p in profiles if p]), ensure_ascii=False)]], columns=[*keys, "profile"])
+            return pd.DataFrame([[*at, json.dumps(progressive([p for p in profiles if p]), ensure_ascii=False)]], columns=[*cols, "profile"])
 
         done: list[pd.DataFrame] = []
         for batch in batches:
@@ -108,22 +113,26 @@ def _align(rows: DataFrame, keys: list[str], from_profile: bool) -> DataFrame:
     return rows.repartition(*cols).sortWithinPartitions(*cols).mapInPandas(work, schema)
 
 
+def guide(value: Column) -> Column:
+    """The least hash of a value's tokens."""
+    return F.array_min(F.transform(F.split(F.trim(value), r"\s+"), lambda t: F.xxhash64(t)))
+
+
 def consensus_values(votes: DataFrame, keys: list[str], chunk: int = CHUNK) -> DataFrame:
     """votes: keys, value, weight (one row per distinct value) -> keys, value: the existing value closest to the consensus."""
     single = votes.groupBy(*keys).agg(F.count("*").alias("n"), F.min("value").alias("only"))
     several = single.where("n > 1").select(*keys, "n")
-    contested = written(votes.join(several, keys), "votes")
-    chunks = lambda n: F.ceil(n / chunk).cast("bigint")
-    rows = contested.withColumn("chunk", F.pmod(F.xxhash64("value"), chunks(F.col("n"))))
-    profiles = _align(rows, keys, False)
+    contested = written(votes.join(several, keys).withColumn("guide", guide(F.col("value"))), "votes")
     most = contested.agg(F.max("n")).first()[0] or 0
-    while most > chunk:  # each round merges up to a chunk of profiles; most: how many profiles a group may have left
-        most = -(-most // chunk)
-        profiles = written(profiles, "profiles")
-        numbered = profiles.join(profiles.groupBy(*keys).agg(F.count("*").alias("n")), keys)
-        profiles = _align(numbered.withColumn("chunk", F.pmod(F.xxhash64("profile"), chunks(F.col("n")))), keys, True)
-        if most <= chunk:  # hashing may leave a little more than one chunk a group
-            profiles = _align(profiles.withColumn("chunk", F.lit(0).cast("bigint")), keys, True)
+    # groups of a rank are cut by the leading bits of the guide, so that the ranks follow it
+    bits = max(0, (most // GROUP_ROWS).bit_length())
+    ranked = numbered(contested, keys, ["guide", "value"], "rank", salt=F.shiftright("guide", 64 - bits) if bits else F.lit(0).cast("bigint"))
+    profiles = _align(ranked.withColumn("chunk", F.floor(F.col("rank") / chunk).cast("bigint")), keys, False)
+    left = -(-most // chunk)  # profiles of the largest group
+    while left > 1:
+        profiles = _align(written(profiles, "profiles").withColumn("chunk", F.floor(F.col("chunk") / chunk).cast("bigint")), keys, True)
+        left = -(-left // chunk)
+    profiles = profiles.drop("chunk")
 
     @F.pandas_udf("double")
     def far(values: pd.Series, profiles: pd.Series) -> pd.Series:
@@ -143,18 +152,18 @@ def consensus_values(votes: DataFrame, keys: list[str], chunk: int = CHUNK) -> D
 def best_records(df: DataFrame, *, id_column: str, keys: list[str], trust: Column, recency: Column, fields: list[str]) -> DataFrame:
     """One row per key: first_id, best_id, copies and a consensus value (as text) for each field.
 
-    recency: a number, null for the earliest. Rows with a null first key are left out. Without fields nothing is voted on.
+    recency: a number, null for the earliest. Rows with a null first key are left out.
     """
     rows = df.select(F.col(id_column).alias("id"), *keys, trust.cast("int").alias("trust"), recency.cast("bigint").alias("recency"), *[F.col(f).cast("string").alias(f"f_{f}") for f in fields])
     rows = rows.where(F.col(keys[0]).isNotNull())
     rank = F.struct("trust", F.coalesce("recency", F.lit(-(2**62))), -F.col("id"))
-    groups = rows.groupBy(*keys).agg(F.min("id").alias("first_id"), F.max_by("id", rank).alias("best_id"), F.count("*").alias("copies"))
+    times = (F.min("recency").alias("oldest"), F.nullif(F.max("recency") - F.min("recency"), F.lit(0)).alias("span"))
+    groups = rows.groupBy(*keys).agg(F.min("id").alias("first_id"), F.max_by("id", rank).alias("best_id"), F.count("*").alias("copies"), *times)
     groups = groups.where("copies > 1")
-    if not fields:
-        return groups.select("first_id", "best_id", "copies")
     held = written(rows.join(groups, keys).drop(*keys), "groups")
-    stacked = held.select("first_id", "trust", F.posexplode(F.array(*[F.col(f"f_{f}") for f in fields])).alias("field", "value"))
-    votes = stacked.where(F.trim(F.coalesce("value", F.lit(""))) != "").groupBy("first_id", "field", "value").agg(F.sum(1.0 + F.col("trust") / 10).alias("weight"))
+    weight = 1.0 + F.col("trust") / 10 + F.coalesce((F.col("recency") - F.col("oldest")) / F.col("span"), F.lit(0.0)) / 10
+    stacked = held.select("first_id", weight.alias("weight"), F.posexplode(F.array(*[F.col(f"f_{f}") for f in fields])).alias("field", "value"))
+    votes = stacked.where(F.trim(F.coalesce("value", F.lit(""))) != "").groupBy("first_id", "field", "value").agg(F.sum("weight").alias("weight"))
     chosen = consensus_values(votes, ["first_id", "field"])
     wide = chosen.groupBy("first_id").agg(*[F.max(F.when(F.col("field") == i, F.col("value"))).alias(f) for i, f in enumerate(fields)])
     heads = held.groupBy("first_id").agg(F.first("best_id").alias("best_id"), F.first("copies").alias("copies"))
@@ -184,7 +193,8 @@ def reddit_records(spark, sf: str, fields: list[str]) -> DataFrame:
 
 
 def p5_found(spark, sf: str) -> DataFrame:
-    return reddit_records(spark, sf, []).select("first_id", "best_id")
+    """The records to keep, from the whole operator: each address's consensus is made and written beside its record."""
+    return written(p5_records(spark, sf), "best-records").select("first_id", "best_id")
 
 
 def p5_records(spark, sf: str) -> DataFrame:

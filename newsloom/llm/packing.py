@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from newsloom.llm.tokens import TOKENIZER, numbered, token_count
 from newsloom.session import written
 
+#: Ranks of one stretch in which items look for their pattern.
+RANKS = 1024
+
 
 def pack_histogram(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
     """[(number of packs, {length: items of this length in each})] for lengths 1..capacity."""
@@ -67,9 +70,11 @@ def intervals(patterns: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int
     return out
 
 
-def pieces(sizes: DataFrame, containers: DataFrame) -> DataFrame:
-    """sizes doc_id, n_tokens; containers container_kind, capacity_tokens (few) -> one row per piece."""
-    both = sizes.where("n_tokens > 0").crossJoin(F.broadcast(containers.where("capacity_tokens > 0")))  # a handful of kinds
+def pieces(sizes: DataFrame, capacity: dict[str, int]) -> DataFrame:
+    """sizes doc_id, n_tokens; capacity of each kind of container -> one row per piece."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("container_kind"), F.lit(c).cast("int").alias("capacity_tokens")) for k, c in capacity.items() if c and c > 0])
+    kinds = kinds if any(c and c > 0 for c in capacity.values()) else F.array().cast("array<struct<container_kind:string,capacity_tokens:int>>")
+    both = sizes.where("n_tokens > 0").select("doc_id", "n_tokens", F.inline(kinds))
     last = F.floor((F.col("n_tokens") - 1) / F.col("capacity_tokens")).cast("bigint")
     cut = both.withColumn("piece_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     start = F.col("piece_no") * F.col("capacity_tokens")
@@ -78,16 +83,20 @@ def pieces(sizes: DataFrame, containers: DataFrame) -> DataFrame:
 
 def pack(sizes: DataFrame, containers: DataFrame) -> DataFrame:
     """container_kind, container_no, doc_id, piece_no, start_token, n_tokens: a place for every piece."""
-    items = pieces(sizes, containers)
+    capacity = {r["container_kind"]: r["capacity_tokens"] for r in containers.collect()}  # a row a kind
+    items = pieces(sizes, capacity)
     histogram: dict[str, dict[int, int]] = {}
     for r in items.groupBy("container_kind", "length").count().collect():  # at most the sum of the capacities
         histogram.setdefault(r["container_kind"], {})[r["length"]] = r["count"]
-    capacity = {r["container_kind"]: r["capacity_tokens"] for r in containers.collect()}
     rows = [(kind, *x) for kind, h in sorted(histogram.items()) for x in intervals(pack_histogram(h, capacity[kind]))]
     plan = sizes.sparkSession.createDataFrame(rows, "container_kind string, length int, lo bigint, hi bigint, base bigint, each bigint")
-    ranked = numbered(items, ["container_kind", "length"], ["doc_id", "piece_no"], "rank")
+    # ranks are looked up by stretches of RANKS, so that an item meets only patterns of its stretch, however common its length
+    stretch = lambda rank: F.floor(rank / RANKS).cast("bigint")
+    plan = plan.withColumn("stretch", F.explode(F.sequence(stretch(F.col("lo")), stretch(F.col("hi") - 1))))
+    most = max((n for h in histogram.values() for n in h.values()), default=0)
+    ranked = numbered(items, ["container_kind", "length"], ["doc_id", "piece_no"], "rank", most=most).withColumn("stretch", stretch(F.col("rank")))
     inside = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    placed = ranked.join(plan, ["container_kind", "length"]).where(inside)
+    placed = ranked.join(plan, ["container_kind", "length", "stretch"]).where(inside)
     number = F.col("base") + F.floor((F.col("rank") - F.col("lo")) / F.col("each")).cast("bigint")
     return placed.select("container_kind", number.alias("container_no"), "doc_id", "piece_no", "start_token", F.col("length").cast("bigint").alias("n_tokens"))
 

@@ -150,6 +150,8 @@ class FMIndex:
 
     def __init__(self, texts: list[str], docs: np.ndarray, span: int = SPAN):
         self.span, self.docs = span, docs
+        # arrays over the symbols have 32 bits: a shard is some SHARD code points and one block, itself bounded by CELL passages
+        _, self.code = np.unique(docs, return_inverse=True)
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.length = np.fromiter(map(len, texts), np.int64, len(texts))
         self.base = np.cumsum(self.length) - self.length + np.arange(1, len(texts) + 1)
@@ -158,17 +160,17 @@ class FMIndex:
         raw = np.zeros(n, np.uint32)  # 0 stands between passages, a code point is itself + 1
         raw[np.repeat(self.base - np.cumsum(self.length) + self.length, self.length) + np.arange(len(points))] = points + 1
         letters, symbols = np.unique(raw, return_inverse=True)
-        self.symbols = symbols.astype(np.int64)
-        owner = np.repeat(np.r_[docs, -1], np.diff(np.r_[ends, n]))
+        self.symbols = symbols.astype(np.int32)
+        owner = np.repeat(np.r_[self.code, -1].astype(np.int32), np.diff(np.r_[ends, n]))
         self._sort(len(letters))
         self.doc = owner[self.sa]
         change = np.flatnonzero(self.doc[1:] != self.doc[:-1]) + 1
-        self.next_other = np.r_[change, n][np.searchsorted(change, np.arange(n), side="right")]  # first rank of another document
+        self.next_other = np.r_[change, n][np.searchsorted(change, np.arange(n), side="right")].astype(np.int32)  # first rank of another document
         self.bwt = WaveletMatrix(self.symbols[self.sa - 1], len(letters))
         self.before = np.r_[0, np.cumsum(np.bincount(self.symbols, minlength=len(letters)))]
 
     def _sort(self, sigma: int) -> None:
-        n, s = len(self.symbols), self.symbols
+        n, s = len(self.symbols), self.symbols.astype(np.int64)
         width = max(1, int(sigma - 1).bit_length())
         k = max(1, min(62 // width, self.span))
         key = np.zeros(n, np.int64)
@@ -176,7 +178,7 @@ class FMIndex:
             key = (key << width) | np.r_[s[j:], np.zeros(min(j, n), np.int64)][:n]
         agree = None
         while True:
-            self.sa = np.argsort(key, kind="stable")
+            self.sa = np.argsort(key, kind="stable").astype(np.int32)
             step = key[self.sa]
             rank = np.empty(n, np.int64)
             rank[self.sa] = np.cumsum(np.r_[0, step[1:] != step[:-1]])
@@ -186,11 +188,11 @@ class FMIndex:
                 break
             key = rank * np.int64(n + 1) + np.r_[rank[k:] + 1, np.zeros(min(k, n), np.int64)][:n]
             k *= 2
-        self.rank_of = np.empty(n, np.int64)
+        self.rank_of = np.empty(n, np.int32)
         self.rank_of[self.sa] = np.arange(n)
         r, off = agree
         here, there = r[self.sa], r[np.minimum(self.sa + off, n - 1)]
-        self.stretch = np.cumsum(np.r_[0, (here[1:] != here[:-1]) | (there[1:] != there[:-1])])  # of each rank
+        self.stretch = np.cumsum(np.r_[0, (here[1:] != here[:-1]) | (there[1:] != there[:-1])]).astype(np.int32)  # of each rank
 
     def first_matches(self, chunk: int = 20_000) -> np.ndarray:
         """Per passage the first window that another document holds, -1 if none: backward search with skips."""
@@ -211,7 +213,7 @@ class FMIndex:
             c = self.symbols[self.base[q] + start + offset]
             both = self.bwt.ranks(np.r_[c, c], np.r_[lo, hi]).reshape(2, -1) + self.before[c]
             lo, hi = both
-            own = self.docs[q]
+            own = self.code[q]
             at = np.minimum(lo, n - 1)
             other = (lo < hi) & ((self.doc[at] != own) | (self.next_other[at] < hi))
             done = other & (offset == 0)
@@ -279,9 +281,9 @@ def _windows(index: FMIndex, starts: list, side: np.ndarray, group: np.ndarray)
 def distinct_texts(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
     """(copies: doc_id, head of the documents whose text stands in a lower doc_id; documents without those copies)."""
     long = docs.where(F.length("text") >= span)
-    keyed = long.select("doc_id", F.xxhash64("text").alias("k1"), F.xxhash64(F.reverse("text"), F.length("text")).alias("k2"))
-    heads = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = written(keyed.join(heads, ["k1", "k2"]).where("doc_id <> head").select("doc_id", "head"), "copies")
+    keyed = long.select("doc_id", F.unhex(F.sha2("text", 256)).alias("key"))  # no two texts are known to share one
+    heads = keyed.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = written(keyed.join(heads, "key").where("doc_id <> head").select("doc_id", "head"), "copies")
     return copies, long.join(copies.select("doc_id"), "doc_id", "left_anti")
 
 
@@ -293,8 +295,9 @@ def passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM, cell: int = CE
             k, h, _, _ = anchors(batch["text"].tolist(), span, gram)
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(np.int64)[k], "anchor": h}).drop_duplicates()
 
-    held = docs.mapInPandas(announce, "doc_id bigint, anchor bigint")
-    shared = held.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1")
+    held = written(docs.mapInPandas(announce, "doc_id bigint, anchor bigint"), "anchors")
+    # counted with map-side combination and joined, so that an anchor of very many documents is in no single task
+    shared = held.join(held.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchor")
     lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "n")).alias("shared"))
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the public pre-tokenisation pattern of byte-level BPE vocabularies of this family.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Sub-groups that a hot key is split into where rows are numbered.
-SALTS = 64
+#: Rows that are numbered in one group at most, about: a hot key is split into groups of this size.
+GROUP_ROWS = 1_000_000
 _encodings: dict[str, object] = {}
 
 
@@ -42,13 +42,14 @@ def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
     return count(text)
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, size: Column | None = None, salts: int = SALTS) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, size: Column | None = None, most: int = 0, salt: Column | None = None) -> DataFrame:
     """df with a running number (0-based) per key, or the sum of size over the rows before, in a column out.
 
-    The order within a key is by salt (a hash of the order columns), then by the order columns. No task holds a key whole:
-    numbers are taken within (key, salt), and a small table has what comes before each salt.
+    most: rows of the largest key. The order within a key is by salt (a hash of the order columns, of as many values as the
+    largest key needs), then by the order columns. No task holds a hot key whole: numbers are taken within (key, salt), and
+    a small table has what comes before each salt. salt: another expression to split keys by.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(max(8, -(-most // GROUP_ROWS)))) if salt is None else salt)
     amount = size if size is not None else F.lit(1)
     totals = salted.groupBy(*keys, "__salt").agg(F.sum(amount).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)

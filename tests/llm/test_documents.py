@@ -77,6 +77,53 @@ def test_permutation():
             assert sorted(mixing.permuted(np.arange(n), np.full(n, n), np.full(n, key)).tolist()) == list(range(n))
 
 
+def test_permutation_backwards():
+    for n in (1, 2, 17, 1000):
+        i, k = np.arange(n), np.full(n, 77)
+        assert mixing.permuted(mixing.permuted(i, np.full(n, n), k), np.full(n, n), k, inverse=True).tolist() == i.tolist()
+
+
+def test_slots_miss_their_tokens_by_less_than_a_block():
+    for total in (1, 31, 32, 33, 100, 959, 960, 961):
+        n = -(-total // 32)
+        size = [32] * (n - 1) + [total - 32 * (n - 1)]
+        for goal in range(0, 3 * total + 1, max(1, total // 40)):
+            slots = mixing.slots_for(goal, total, 32, 5)
+            got = 0
+            for turn in range(slots // n + 1):
+                k = min(n, slots - turn * n)
+                got += sum(size[b] for b in mixing.permuted(np.arange(k), np.full(k, n), np.full(k, mixing.round_key(5, turn))))
+            assert abs(got - goal) < 32, (total, goal, got)
+
+
+def test_draws_beyond_the_exact_method():
+    rng = np.random.default_rng(1)
+    left = np.array([5 * 10**9, 3, 0, 2 * 10**9])
+    got = mixing.drawn(rng, left, 10**9)
+    assert got.sum() == 10**9 and (got <= left).all() and (mixing.drawn(rng, left, int(left.sum())) == left).all()
+
+
+def test_slots_of_many_shards(spark):
+    sizes = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), (F.col("id") % 50 + 1).cast("bigint").alias("n_tokens"))
+    targets = spark.createDataFrame([("a", 0.5, 3), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    rows = mixing.mixed(sizes, targets, block=4).select("shard", "slot", "source", "round", "block_no").distinct().collect()
+    assert len(rows) == len({(r["shard"], r["slot"]) for r in rows}) == len({(r["source"], r["round"], r["block_no"]) for r in rows})
+    per = collections.Counter(r["shard"] for r in rows)
+    assert set(per) == set(range(len(per))) and len(per) > 50 and max(per.values()) - min(per.values()) < 10
+    a = [sum(r["shard"] == k and r["source"] == "a" for r in rows) / per[k] for k in per]
+    assert 0.3 < min(a) < max(a) < 0.7 and len(set(a)) > 5  # drawn, not fixed
+
+
+def test_hot_length_meets_its_patterns_by_stretches(spark):
+    sizes = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5 < 4, 7).otherwise(F.col("id") % 30 + 1).cast("bigint").alias("n_tokens"))
+    rows = packing.pack(sizes, spark.createDataFrame([("s", 32), (None, 0), ("bad", -1)], "container_kind string, capacity_tokens int")).collect()
+    assert len(rows) == 5000 and len({r["doc_id"] for r in rows}) == 5000
+    filled = collections.Counter()
+    for r in rows:
+        filled[r["container_no"]] += r["n_tokens"]
+    assert max(filled.values()) <= 32 and sum(filled.values()) / (32 * len(filled)) > 0.9
+
+
 def test_mix_keeps_caps_and_shares(spark):
     rnd = random.Random(7)
     sizes = [(i, s, rnd.randint(0, 90)) for i, s in enumerate(["big"] * 600 + ["small"] * 40 + ["other"] * 50 + [None] * 5)]
