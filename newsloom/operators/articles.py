@@ -80,10 +80,10 @@ def link_key(column: Column) -> Column:
 
 
 def not_seen_today(df: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows that today's earlier outputs (title, link) don't hold by either key."""
+    """Rows that today's earlier outputs (title, link) don't hold by either key; a row's link is its first that is filled."""
     titles = seen.select(title_key(F.col("title")).alias("s_title")).where("s_title <> ''").distinct()
-    links = seen.select(link_key(F.col("link")).alias("s_link")).where("s_link <> ''").distinct()
-    return df.join(titles, title_key(F.col("title")) == F.col("s_title"), "left_anti").join(links, link_key(F.col("link")) == F.col("s_link"), "left_anti")
+    links = seen.select(link_key(primary_link() if {"reddit_url", "external_url"} <= set(seen.columns) else F.col("link")).alias("s_link")).where("s_link <> ''").distinct()
+    return df.join(titles, title_key(F.col("title")) == F.col("s_title"), "left_anti").join(links, link_key(primary_link()) == F.col("s_link"), "left_anti")
 
 
 def first_wins(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:

@@ -10,7 +10,9 @@ from newsloom.functions import text as X
 from newsloom.functions.numbers import rounded
 from newsloom.operators.articles import engagement
 from newsloom.params import DEFAULTS, REGISTRY, Params
+from newsloom.session import written
 
+ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 COMPONENTS = ("base_score", "rank_score", "history_score", "hot_score", "recency_score")
 
 
@@ -33,23 +35,23 @@ def with_rank_scores(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def positions(df: DataFrame, group: str, key: str, out: str) -> DataFrame:
-    """1-based position by key within group, without a partition per group.
+    """1-based position by key within group, by one range-partitioned sort: no task holds a group.
 
-    Rows are split by the leading score of the key (a few distinct values a group), a bucket each; only equal scores share
-    a bucket, and a bucket's rows are numbered by a window over (group, bucket, first letters), offsets by a small table.
+    The sorted rows are written once with the number of their range; a row's position is its place in its range and what the
+    ranges before it hold of its group (a small table of ranges and groups).
     """
-    d = df.withColumns({"p_a": F.col(key)["s"], "p_b": F.substring(F.col(key)["t"], 1, 2)})
-    sizes = d.groupBy(group, "p_a", "p_b").agg(F.count("*").alias("p_n"))
-    before = Window.partitionBy(group).orderBy("p_a", "p_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "p_a", "p_b", F.coalesce(F.sum("p_n").over(before), F.lit(0)).alias("p_off"))
-    within = Window.partitionBy(group, "p_a", "p_b").orderBy(key)
-    d = d.withColumn("p_rn", F.row_number().over(within)).join(offsets, [group, "p_a", "p_b"])
-    return d.withColumn(out, F.col("p_off") + F.col("p_rn")).drop("p_a", "p_b", "p_n", "p_off", "p_rn")
+    d = written(df.repartitionByRange(F.col(group), F.col(key)).withColumn("p_range", F.spark_partition_id()), "ranges")
+    sizes = d.groupBy(group, "p_range").agg(F.count("*").alias("p_n"))
+    before = Window.partitionBy(group).orderBy("p_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group, "p_range", F.coalesce(F.sum("p_n").over(before), F.lit(0)).alias("p_off"))
+    within = Window.partitionBy(group, "p_range").orderBy(key)
+    d = d.withColumn("p_rn", F.row_number().over(within)).join(offsets, [group, "p_range"])
+    return d.withColumn(out, F.col("p_off") + F.col("p_rn")).drop("p_range", "p_off", "p_rn")
 
 
 def date_ts(column: str = "date") -> Column:
-    """Instant of an article's date as ISO text; text without a zone is UTC; null where unreadable."""
-    return F.col(column).try_cast("timestamp")
+    """Instant of an article's date as ISO text; text without a zone is in the session's zone; null where it is no such text."""
+    return F.when(F.col(column).rlike(ISO), F.col(column).try_cast("timestamp"))
 
 
 def with_recency(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Registered queries of the core; plans.sql has the same in DuckDB's SQL where SQL can say it.
+"""Registered queries of the core over whole tables; plans.sql has the same in DuckDB's SQL where SQL can say it.
 
-Queries of article rows that SQL checks run over the tables whose titles DuckDB can normalise (PLAIN); each has a form
-all_... over all four article tables, without SQL.
+The queries with scores take what SQL can say: components by equal URL, title or compact title, no history score. Their
+all_... forms take the pipeline's scores and components, fuzzy similarity included, after its noise and history filters.
 """
 
 from __future__ import annotations
@@ -22,15 +22,8 @@ from newsloom.operators.graph import connected_components
 from newsloom.params import DEFAULTS
 from newsloom.plans import sql
 from newsloom.plans.pipeline import scored_stories, top_stories
-from newsloom.sources.tables import articles, read, traces
-
-#: Titles of these types are free of compatibility characters, which DuckDB can't normalise.
-PLAIN = ("rss", "google", "reddit")
-
-
-def _rows(spark, sf: str, whole: bool) -> DataFrame:
-    return articles(spark, sf) if whole else articles(spark, sf, PLAIN)
-
+from newsloom.session import written
+from newsloom.sources.tables import ARTICLE, articles, read, traces
 
 def _joined(tokens) -> F.Column:
     return F.array_join(F.array_sort(tokens), " ")
@@ -40,43 +33,45 @@ def union_registry(spark, sf):
     return articles(spark, sf).select("article_ix", "source_type", "source_priority", "title")
 
 
-def norm_title(spark, sf, whole=False):
-    d = _rows(spark, sf, whole).select("article_ix", X.normalize_title(F.col("title"), whole).alias("norm_title"))
+def norm_title(spark, sf):
+    d = articles(spark, sf).select("article_ix", X.normalize_title(F.col("title")).alias("norm_title"))
     return d.withColumn("compact_title", X.compact(F.col("norm_title")))
 
 
-def norm_url(spark, sf, whole=False):
-    d = _rows(spark, sf, whole)
+def norm_url(spark, sf):
+    d = articles(spark, sf)
     return d.select("article_ix", U.normalize_url(F.col("link")).alias("norm_url"), U.url_host(F.col("link")).alias("domain"), U.tracking_params(F.col("link")).alias("tracking"))
 
 
-def noise_signals(spark, sf, whole=False):
-    return A.with_noise(_rows(spark, sf, whole), compatibility=whole).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
+def noise_signals(spark, sf):
+    return A.with_noise(articles(spark, sf)).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
-def noise_removed(spark, sf, whole=False):
-    d = A.with_noise(_rows(spark, sf, whole), compatibility=whole)
+def noise_removed(spark, sf):
+    d = A.with_noise(articles(spark, sf))
     return d.groupBy("source_type").agg(F.count("*").alias("total"), F.count_if("is_noise").alias("removed"))
 
 
-def word_tokens(spark, sf, whole=False):
-    d = A.with_features(_rows(spark, sf, whole), whole)
+def word_tokens(spark, sf):
+    d = A.with_features(articles(spark, sf))
     return d.select("article_ix", F.size("word_tokens").cast("bigint").alias("n"), _joined("word_tokens").alias("words"))
 
 
-def bigram_sets(spark, sf, whole=False):
-    d = A.with_features(_rows(spark, sf, whole), whole)
+def bigram_sets(spark, sf):
+    d = A.with_features(articles(spark, sf))
     return d.select("article_ix", _joined("cjk_bigrams").alias("cjk"), _joined("compact_bigrams").alias("compact"))
 
 
 def _halves(spark, sf):
-    rss = articles(spark, sf, ("rss",))
-    return rss.where("batch_no > 0"), rss.where("batch_no = 0")
+    """(articles that came later or from elsewhere, the archive: batch 0 of the feeds)."""
+    arts = articles(spark, sf)
+    old = (F.col("source_type") == "rss") & (F.col("batch_no") == 0)
+    return arts.where(~F.coalesce(old, F.lit(False))), arts.where(old)
 
 
 def history_anti_join(spark, sf):
     new, old = _halves(spark, sf)
-    return A.not_in_history(new, old, False).select("article_ix", "title", "link")
+    return A.not_in_history(new, old).select("article_ix", "title", "link")
 
 
 def same_day_seen(spark, sf):
@@ -84,43 +79,48 @@ def same_day_seen(spark, sf):
     return A.not_seen_today(new, old).select("article_ix", "title", "link")
 
 
-def _features(spark, sf, whole):
-    return S.features_of(_rows(spark, sf, whole), whole)
+def _features(spark, sf):
+    """Written: a dozen branches read it."""
+    return written(S.features_of(articles(spark, sf)), "features")
 
 
-def candidate_pairs(spark, sf, whole=False):
-    return S.candidate_pairs(_features(spark, sf, whole))
+def candidate_pairs(spark, sf):
+    return S.candidate_pairs(_features(spark, sf))
 
 
-def pair_jaccard(spark, sf, whole=False):
-    f = _features(spark, sf, whole)
+def pair_jaccard(spark, sf):
+    f = _features(spark, sf)
     d = S.measured(S.with_both(S.candidate_pairs(f), f))
     return d.select("i", "j", F.bround("jac", 6).alias("jaccard"), F.col("words").cast("bigint").alias("words"), "url")
 
 
-def comparable_pairs(spark, sf, whole=False):
-    f = _features(spark, sf, whole)
+def comparable_pairs(spark, sf):
+    f = _features(spark, sf)
     return S.measured(S.with_both(S.candidate_pairs(f), f)).where(S.comparable()).select("i", "j", "hint")
 
 
 def fuzzy_pairs(spark, sf):
-    f = _features(spark, sf, True)
+    f = _features(spark, sf)
     return S.scored_pairs(S.candidate_pairs(f), f, DEFAULTS.hot_threshold).select("i", "j", F.bround("similarity", 4).alias("similarity"))
 
 
-def exact_components(spark, sf, whole=False):
-    return connected_components(S.exact_pairs(_features(spark, sf, whole)).withColumnsRenamed({"i": "src", "j": "dst"}))
+def _exact_components(features):
+    return connected_components(S.exact_pairs(features).withColumnsRenamed({"i": "src", "j": "dst"}))
 
 
-def hot_scores(spark, sf, whole=False):
-    d = A.with_features(_rows(spark, sf, whole), whole)
-    comp = connected_components(S.exact_pairs(d).withColumnsRenamed({"i": "src", "j": "dst"}))
-    return R.hot_scores(d.select("article_ix", "source_type"), comp)
+def exact_components(spark, sf):
+    return _exact_components(_features(spark, sf))
+
+
+def hot_scores(spark, sf):
+    d = written(A.with_features(articles(spark, sf)).select("article_ix", "source_type", "norm_url", "norm_title", "compact_title"), "keys")
+    return R.hot_scores(d.select("article_ix", "source_type"), _exact_components(d))
 
 
 def history_penalty(spark, sf):
     new, old = _halves(spark, sf)
-    return S.history_scores(S.features_of(new, False), S.features_of(old, False)).where("history_score < 0").select("article_ix", F.bround("similarity", 4).alias("similarity"), "history_score")
+    f = S.history_scores(written(S.features_of(new), "features"), written(S.features_of(old), "archived"))
+    return f.where("history_score < 0").select("article_ix", F.bround("similarity", 4).alias("similarity"), "history_score")
 
 
 def engagement_tiers(spark, sf):
@@ -128,23 +128,24 @@ def engagement_tiers(spark, sf):
 
 
 def recency(spark, sf):
-    return R.with_recency(articles(spark, sf, ("rss",))).select("article_ix", "recency_score")
+    return R.with_recency(articles(spark, sf)).select("article_ix", "recency_score")
 
 
-def fetch_rank(spark, sf, whole=False):
-    return R.with_rank_scores(R.with_base_scores(_rows(spark, sf, whole))).select("article_ix", "base_score", "extra_score", "rank_score")
+def fetch_rank(spark, sf):
+    return R.with_rank_scores(R.with_base_scores(articles(spark, sf))).select("article_ix", "base_score", "extra_score", "rank_score")
 
 
 def _scored(spark, sf, whole) -> DataFrame:
-    """whole: the pipeline's scores and components. Else what SQL can say: no fuzzy parts, one component a normalised title."""
+    """whole: the pipeline's scores and components. Else what SQL can say: components by exact keys, no history score."""
     if whole:
-        return scored_stories(spark, sf)
-    d = A.with_features(_rows(spark, sf, False), False)
-    heads = d.where("norm_title <> ''").groupBy("norm_title").agg(F.min("article_ix").alias("component"))
-    d = d.join(heads, "norm_title", "left").withColumn("component", F.coalesce("component", "article_ix"))
-    d = R.with_rank_scores(R.with_base_scores(d))
-    d = d.withColumn("recency_score", F.when(F.col("source_type") == "rss", dates.recency_score(R.date_ts(), F.lit(DEFAULTS.now).cast("timestamp"))).otherwise(0.0))
-    return R.with_final_score(d.withColumns({"history_score": F.lit(0.0), "hot_score": F.lit(0.0)}))
+        return written(scored_stories(spark, sf), "scored")
+    d = written(A.with_features(articles(spark, sf)), "features")
+    components = _exact_components(d)
+    hot = R.hot_scores(d.select("article_ix", "source_type"), components)
+    d = R.with_recency(R.with_rank_scores(R.with_base_scores(d.select(*ARTICLE))))
+    d = d.join(components, d["article_ix"] == components["vertex"], "left").drop("vertex").withColumn("component", F.coalesce("component", "article_ix"))
+    scored = R.with_final_score(d.join(hot, "article_ix", "left").withColumn("history_score", F.lit(0.0)))
+    return written(scored, "scored")  # read two to four times
 
 
 def final_score(spark, sf, whole=False):
@@ -159,8 +160,8 @@ def cluster_topic(spark, sf, whole=False):
     return R.canonical(_scored(spark, sf, whole)).select("article_ix", "primary_topic", F.size("topic_candidates").cast("bigint").alias("topics"))
 
 
-def grouped_ranking(spark, sf, whole=False):
-    d = R.with_base_scores(_rows(spark, sf, whole))
+def grouped_ranking(spark, sf):
+    d = R.with_base_scores(articles(spark, sf))
     d = d.withColumn("o", F.struct((-(F.col("base_score") + F.col("extra_score"))).alias("s"), X.text(F.col("title")).alias("t"), F.col("article_ix").alias("x")))
     return R.positions(d, "source_type", "o", "position").select("article_ix", "source_type", F.col("position").cast("bigint").alias("position"))
 
@@ -283,10 +284,7 @@ _CORE = (
     stars_per_day, window_cutoff, search_queries, feed_dates, top_engaged,
 )
 
-_ALL = (
-    norm_title, norm_url, noise_signals, noise_removed, word_tokens, bigram_sets, candidate_pairs, pair_jaccard, comparable_pairs, exact_components,
-    hot_scores, fetch_rank, final_score, canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines,
-)
+_ALL = (final_score, canonical_pick, cluster_topic, topic_order, round_robin_topn, markdown_lines)
 
 
 def queries() -> dict:

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 CJK = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
 WS = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 NOW = "TIMESTAMP '2026-04-21 00:00:00'"
 
 
+def _kept() -> tuple[str, str]:
+    """Characters that compatibility normalisation makes another single one: blanks, letter-like signs, radicals, full and half width."""
+    ranges = ((0xA0, 0xA0), (0x2000, 0x200A), (0x2010, 0x2015), (0x202F, 0x202F), (0x205F, 0x205F), (0x2100, 0x214F), (0x2F00, 0x2FD5), (0x3000, 0x3000), (0xFF01, 0xFFEE))
+    found = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for lo, hi in ranges for c in range(lo, hi + 1)]
+    found = [(a, b) for a, b in found if a != b and len(b) == 1]
+    return "".join(a for a, _ in found), "".join(b for _, b in found).replace("'", "''")
+
+
+def nfkc(t: str) -> str:
+    """What NFKC does to the characters of the tables: DuckDB has the canonical composition only."""
+    x = f"translate({t}, '{_kept()[0]}', '{_kept()[1]}')"
+    for c in map(chr, range(0xFB00, 0xFB07)):
+        x = f"replace({x}, '{c}', '{unicodedata.normalize('NFKC', c)}')"
+    return f"nfc_normalize({x})"
+
+
 def norm(t: str) -> str:
-    x = f"lower(coalesce({t}, ''))"
+    x = f"lower({nfkc(f"coalesce({t}, '')")})"
     x = f"regexp_replace({x}, '([a-z0-9])([{CJK}])', '\\1 \\2', 'g')"
     x = f"regexp_replace({x}, '([{CJK}])([a-z0-9])', '\\1 \\2', 'g')"
     x = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s]+', ' ', 'g')"
@@ -45,12 +63,15 @@ def bigrams(s: str) -> str:
 
 
 PRIO = "greatest(1, least(10, coalesce(s.priority, 3)))"
+NO_COUNTS = "NULL::BIGINT AS likes, NULL::BIGINT AS retweets, NULL::BIGINT AS reply_count"
 ARTS = f"""plain AS (
   SELECT 10000000000000 + article_id AS article_ix, 'rss' AS source_type, a.source_id, a.source_name, {PRIO} AS source_priority, a.topic, title, link,
-    NULL AS reddit_url, NULL AS external_url, date, summary, NULL AS snippet, NULL::BIGINT AS score, NULL::BIGINT AS num_comments
+    NULL::VARCHAR AS reddit_url, NULL::VARCHAR AS external_url, date, summary, NULL::VARCHAR AS snippet, NULL::BIGINT AS score, NULL::BIGINT AS num_comments, {NO_COUNTS}
   FROM rss_articles a LEFT JOIN feed_sources s ON a.source_id = s.source_id
-  UNION ALL SELECT 30000000000000 + article_id, 'google', NULL, NULL, 3, topic, title, link, NULL, NULL, date, NULL, snippet, NULL, NULL FROM web_articles
-  UNION ALL SELECT 110000000000000 + article_id, 'reddit', a.source_id, a.source_name, {PRIO}, a.topic, title, link, reddit_url, external_url, date, NULL, NULL, a.score, a.num_comments
+  UNION ALL SELECT 20000000000000 + article_id, 'twitter', a.source_id, a.source_name, {PRIO}, a.topic, title, link, NULL, NULL, date, NULL, NULL, NULL, NULL,
+    metrics.like_count, metrics.retweet_count, metrics.reply_count FROM twitter_articles a LEFT JOIN feed_sources s ON a.source_id = s.source_id
+  UNION ALL SELECT 30000000000000 + article_id, 'google', NULL, NULL, 3, topic, title, link, NULL, NULL, date, NULL, snippet, NULL, NULL, NULL, NULL, NULL FROM web_articles
+  UNION ALL SELECT 110000000000000 + article_id, 'reddit', a.source_id, a.source_name, {PRIO}, a.topic, title, link, reddit_url, external_url, date, NULL, NULL, a.score, a.num_comments, NULL, NULL, NULL
   FROM reddit_articles a LEFT JOIN reddit_subreddits s ON a.source_id = s.source_id)"""
 FEATS = f"""{ARTS}, n1 AS (SELECT *, {norm('title')} AS norm_title FROM plain),
 n2 AS (SELECT *, replace(norm_title, ' ', '') AS compact_title, {nurl('link')} AS norm_url, {host('link')} AS domain FROM n1),
@@ -84,17 +105,25 @@ COMPONENTS = f"""e AS (SELECT i AS u, j AS v FROM ({EXACT}) UNION SELECT j, i FR
 r(u, v) AS (SELECT u, u FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
 comp AS (SELECT u AS vertex, min(v) AS component FROM r GROUP BY u)"""
 REDDIT_TIER = "CASE " + " ".join(f"WHEN coalesce(score, 0) >= {s} OR coalesce(num_comments, 0) >= {c} THEN {v}" for v, s, c in ((5, 1000, 300), (3, 500, 150), (2, 200, 80), (1, 100, 30))) + " ELSE 0 END"
-TWITTER_TIER = "CASE " + " ".join(f"WHEN coalesce(metrics.like_count, 0) >= {a} OR coalesce(metrics.retweet_count, 0) >= {b} OR coalesce(metrics.reply_count, 0) >= {c} THEN {v}" for v, a, b, c in ((5, 1000, 500, 300), (3, 500, 200, 150), (2, 100, 50, 60), (1, 50, 20, 20))) + " ELSE 0 END"
-EXTRA = f"CASE WHEN source_type = 'reddit' THEN {REDDIT_TIER} ELSE 0 END"
-AGE = f"(epoch_us({NOW}) - epoch_us(try_cast(date AS TIMESTAMPTZ))) / 3.6e9"
+TWITTER_MARKS = ((5, 1000, 500, 300), (3, 500, 200, 150), (2, 100, 50, 60), (1, 50, 20, 20))
+
+
+def twitter_tier(likes: str, retweets: str, replies: str) -> str:
+    return "CASE " + " ".join(f"WHEN coalesce({likes}, 0) >= {a} OR coalesce({retweets}, 0) >= {b} OR coalesce({replies}, 0) >= {c} THEN {v}" for v, a, b, c in TWITTER_MARKS) + " ELSE 0 END"
+
+
+EXTRA = f"CASE WHEN source_type = 'reddit' THEN {REDDIT_TIER} WHEN source_type = 'twitter' THEN {twitter_tier('likes', 'retweets', 'reply_count')} ELSE 0 END"
+ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+AGE = f"(epoch_us({NOW}) - epoch_us(CASE WHEN regexp_matches(date, '{ISO}') THEN try_cast(date AS TIMESTAMPTZ) END)) / 3.6e9"
 RECENCY = f"CASE WHEN {AGE} < 6 THEN 1.5::DOUBLE WHEN {AGE} < 24 THEN 1.0 ELSE 0.0 END"
 RANKED = f"""b AS (SELECT *, source_priority::DOUBLE AS base_score, ({EXTRA})::DOUBLE AS extra_score FROM feats),
 pos AS (SELECT *, row_number() OVER (PARTITION BY source_type ORDER BY -(base_score + extra_score), coalesce(title, ''), article_ix) AS position, count(*) OVER (PARTITION BY source_type) AS total FROM b),
 ranked AS (SELECT *, round_even(CASE WHEN total = 1 THEN 3.0 ELSE 3.0 * (1.0 - (position - 1) / (total - 1)::DOUBLE) END::DOUBLE, 3) AS rank_score FROM pos)"""
-SCORED = f"""{FEATS}, {RANKED},
-scored AS (SELECT *, CASE WHEN norm_title = '' THEN article_ix ELSE min(article_ix) OVER (PARTITION BY norm_title) END AS component,
-  round_even(base_score + rank_score + CASE WHEN source_type = 'rss' THEN {RECENCY} ELSE 0.0 END, 3) AS final_score,
-  CASE WHEN trim(coalesce(topic, '')) = '' THEN 'uncategorized' ELSE trim(topic) END AS c_topic FROM ranked)"""
+SCORED = f"""{FEATS}, {RANKED}, {COMPONENTS},
+kinds AS (SELECT component, count(DISTINCT source_type) AS kinds FROM comp JOIN feats ON vertex = article_ix GROUP BY 1),
+scored AS (SELECT ranked.*, coalesce(comp.component, article_ix) AS component,
+  round_even(base_score + rank_score + CASE WHEN kinds IS NULL THEN 0.0 ELSE least(6.0, 2.0 * (kinds - 1)) END + {RECENCY}, 3) AS final_score,
+  CASE WHEN trim(coalesce(topic, '')) = '' THEN 'uncategorized' ELSE trim(topic) END AS c_topic FROM ranked LEFT JOIN comp ON vertex = article_ix LEFT JOIN kinds ON kinds.component = comp.component)"""
 CANON = f"""{SCORED},
 heads AS (SELECT component, count(*) AS cluster_size, count(DISTINCT source_type) > 1 AS multi_source, min(article_ix) AS first_ix FROM scored GROUP BY 1),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY component ORDER BY final_score DESC, extra_score DESC, coalesce(title, '') DESC, article_ix) = 1),
@@ -136,11 +165,12 @@ def oracle_sql() -> dict[str, str]:
     y AS (SELECT *, noise_score >= 4.0 AND ((engagement_chrome AND (embedded_url_text OR embedded_external_redirect)) OR (tracking_url AND promotion_shape)
       OR (promotion_shape AND short_low_information_title AND (embedded_url_text OR embedded_external_redirect OR tracking_url))) AS is_noise FROM z)"""
     signals = "embedded_url_text, embedded_external_redirect, tracking_url, engagement_chrome, promotion_shape, short_low_information_title"
-    shown = "coalesce(nullif(title, ''), nullif(link, ''), '')"
+    primary = "coalesce(nullif(link, ''), nullif(reddit_url, ''), nullif(external_url, ''), '')"
+    shown = f"coalesce(nullif(title, ''), {primary})"
     title_key = f"lower({collapse('title')})"
-    link_key = "regexp_replace(lower(trim(coalesce(link, ''))), '/+$', '')"
+    link_key = f"regexp_replace(lower(trim({primary})), '/+$', '')"
     score_text = "format('{:.1f}', round_even(final_score, 1))"
-    metrics = "concat_ws(', ', CASE WHEN coalesce(num_comments, 0) <> 0 THEN 'comments=' || num_comments END, CASE WHEN coalesce(score, 0) <> 0 THEN 'score=' || score END)"
+    metrics = "concat_ws(', ', CASE WHEN coalesce(likes, 0) <> 0 THEN 'likes=' || likes END, CASE WHEN coalesce(num_comments, 0) <> 0 THEN 'comments=' || num_comments END, CASE WHEN coalesce(reply_count, 0) <> 0 THEN 'replies=' || reply_count END, CASE WHEN coalesce(retweets, 0) <> 0 THEN 'retweets=' || retweets END, CASE WHEN coalesce(score, 0) <> 0 THEN 'score=' || score END)"
     summary = collapse("coalesce(nullif(snippet, ''), nullif(summary, ''), '')")
     return {
         "union_registry": f"""SELECT 10000000000000 + article_id AS article_ix, 'rss' AS source_type, {PRIO} AS source_priority, title FROM rss_articles a LEFT JOIN feed_sources s ON a.source_id = s.source_id
@@ -153,11 +183,10 @@ def oracle_sql() -> dict[str, str]:
         "noise_removed": f"WITH {noise} SELECT source_type, count(*) AS total, count(*) FILTER (is_noise) AS removed FROM y GROUP BY 1",
         "word_tokens": f"WITH {FEATS} SELECT article_ix, len(word_tokens) AS n, array_to_string(list_sort(word_tokens), ' ') AS words FROM feats",
         "bigram_sets": f"WITH {FEATS} SELECT article_ix, coalesce(array_to_string(list_sort(cjk_bigrams), ' '), '') AS cjk, coalesce(array_to_string(list_sort(compact_bigrams), ' '), '') AS compact FROM feats",
-        "history_anti_join": f"""WITH h AS (SELECT *, {norm('title')} AS ht, {norm(shown)} AS kt, {nurl('link')} AS kl FROM rss_articles)
-          SELECT 10000000000000 + article_id AS article_ix, title, link FROM h WHERE batch_no > 0
-          AND (kt = '' OR kt NOT IN (SELECT ht FROM h WHERE batch_no = 0)) AND (kl = '' OR kl NOT IN (SELECT kl FROM h WHERE batch_no = 0))""",
-        "same_day_seen": f"""WITH h AS (SELECT *, {title_key} AS kt, {link_key} AS kl FROM rss_articles) SELECT 10000000000000 + article_id AS article_ix, title, link FROM h WHERE batch_no > 0
-          AND (kt = '' OR kt NOT IN (SELECT kt FROM h WHERE batch_no = 0)) AND (kl = '' OR kl NOT IN (SELECT kl FROM h WHERE batch_no = 0))""",
+        "history_anti_join": f"""WITH {ARTS}, h AS (SELECT *, article_ix // 10000000000000 = 1 AND article_ix - 10000000000000 IN (SELECT article_id FROM rss_articles WHERE batch_no = 0) AS old, {norm('title')} AS ht, {norm(shown)} AS kt, {nurl(primary)} AS kl FROM plain)
+          SELECT article_ix, title, link FROM h WHERE NOT old AND (kt = '' OR kt NOT IN (SELECT ht FROM h WHERE old)) AND (kl = '' OR kl NOT IN (SELECT {nurl('link')} FROM h WHERE old))""",
+        "same_day_seen": f"""WITH {ARTS}, h AS (SELECT *, article_ix // 10000000000000 = 1 AND article_ix - 10000000000000 IN (SELECT article_id FROM rss_articles WHERE batch_no = 0) AS old, {title_key} AS kt, {link_key} AS kl FROM plain)
+          SELECT article_ix, title, link FROM h WHERE NOT old AND (kt = '' OR kt NOT IN (SELECT kt FROM h WHERE old)) AND (kl = '' OR kl NOT IN (SELECT kl FROM h WHERE old))""",
         "candidate_pairs": f"WITH {PAIRS} SELECT i, j FROM pairs",
         "pair_jaccard": f"WITH {PAIRS} SELECT i, j, round_even({JAC}, 6) AS jaccard, {INTER('aw', 'bw')} AS words, {URL_HINT} AS url FROM x",
         "comparable_pairs": f"WITH {PAIRS} SELECT i, j, {HINT} AS hint FROM x WHERE {HINT} IS NOT NULL OR {INTER('aw', 'bw')} >= 2 OR {INTER('ac', 'bc')} >= 3 OR {INTER('ag', 'bg')} >= 4",
@@ -165,17 +194,17 @@ def oracle_sql() -> dict[str, str]:
         "hot_scores": f"""WITH RECURSIVE {FEATS}, {COMPONENTS}, k AS (SELECT component, count(DISTINCT source_type) AS kinds FROM comp JOIN feats ON vertex = article_ix GROUP BY 1)
           SELECT vertex AS article_ix, least(6.0, 2.0 * (kinds - 1))::DOUBLE AS hot_score FROM comp JOIN k USING (component)""",
         "engagement_tiers": f"""SELECT 10000000000000 + article_id AS article_ix, 0::BIGINT AS extra_score FROM rss_articles UNION ALL SELECT 30000000000000 + article_id, 0 FROM web_articles
-          UNION ALL SELECT 20000000000000 + article_id, {TWITTER_TIER} FROM twitter_articles UNION ALL SELECT 110000000000000 + article_id, {REDDIT_TIER} FROM reddit_articles""",
-        "recency": f"SELECT 10000000000000 + article_id AS article_ix, {RECENCY} AS recency_score FROM rss_articles",
+          UNION ALL SELECT 20000000000000 + article_id, {twitter_tier('metrics.like_count', 'metrics.retweet_count', 'metrics.reply_count')} FROM twitter_articles UNION ALL SELECT 110000000000000 + article_id, {REDDIT_TIER} FROM reddit_articles""",
+        "recency": f"WITH {ARTS} SELECT article_ix, {RECENCY} AS recency_score FROM plain",
         "fetch_rank": f"WITH {FEATS}, {RANKED} SELECT article_ix, base_score, extra_score, rank_score FROM ranked",
         "grouped_ranking": f"WITH {FEATS}, {RANKED} SELECT article_ix, source_type, position FROM ranked",
-        "final_score": f"WITH {SCORED} SELECT article_ix, component, final_score FROM scored",
-        "canonical_pick": f"WITH {CANON} SELECT article_ix, cluster_size, multi_source, first_ix, final_score FROM canon",
-        "cluster_topic": f"WITH {CANON} SELECT article_ix, primary_topic, topics FROM canon",
-        "topic_order": f"""WITH {CANON}, g AS (SELECT primary_topic, count(*) AS available, min((-final_score, source_order, coalesce(title, ''))) AS b FROM co GROUP BY 1)
+        "final_score": f"WITH RECURSIVE {SCORED} SELECT article_ix, component, final_score FROM scored",
+        "canonical_pick": f"WITH RECURSIVE {CANON} SELECT article_ix, cluster_size, multi_source, first_ix, final_score FROM canon",
+        "cluster_topic": f"WITH RECURSIVE {CANON} SELECT article_ix, primary_topic, topics FROM canon",
+        "topic_order": f"""WITH RECURSIVE {CANON}, g AS (SELECT primary_topic, count(*) AS available, min((-final_score, source_order, coalesce(title, ''))) AS b FROM co GROUP BY 1)
           SELECT primary_topic, available, row_number() OVER (ORDER BY b, primary_topic) AS topic_rank FROM g""",
-        "round_robin_topn": f"WITH {TOP} SELECT primary_topic AS topic, article_ix, selection_order, rank, turn FROM t3",
-        "markdown_lines": f"""WITH {TOP} SELECT primary_topic AS topic, rank, rank || '. ⭐' || {score_text} || ' | ' || {shown} || CASE WHEN {summary} <> '' THEN ' - ' || {summary} ELSE '' END
+        "round_robin_topn": f"WITH RECURSIVE {TOP} SELECT primary_topic AS topic, article_ix, selection_order, rank, turn FROM t3",
+        "markdown_lines": f"""WITH RECURSIVE {TOP} SELECT primary_topic AS topic, rank, rank || '. ⭐' || {score_text} || ' | ' || {shown} || CASE WHEN {summary} <> '' THEN ' - ' || {summary} ELSE '' END
           || ' | *' || concat_ws(' - ', nullif(source_type, ''), nullif(coalesce(source_name, ''), '')) || '*' || CASE WHEN {metrics} <> '' THEN ' | *' || {metrics} || '*' ELSE '' END AS line FROM t3""",
         "distribution": """SELECT t AS source_type, CASE t WHEN 'rss' THEN (SELECT count(*) FROM rss_articles) WHEN 'twitter' THEN (SELECT count(*) FROM twitter_articles)
           WHEN 'google' THEN (SELECT count(*) FROM web_articles) WHEN 'reddit' THEN (SELECT count(*) FROM reddit_articles) ELSE 0 END AS n

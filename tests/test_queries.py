@@ -28,28 +28,29 @@ def test_entry(spark, tables):
     assert rows and all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 5 for v in per.values())
 
 
-@pytest.mark.parametrize("name", ["norm_title", "norm_url", "noise_signals", "word_tokens", "bigram_sets", "fetch_rank", "grouped_ranking"])
-def test_all_rows_of_all_tables(spark, tables, name):
+@pytest.mark.parametrize("name", ["norm_title", "norm_url", "noise_signals", "word_tokens", "bigram_sets", "fetch_rank", "grouped_ranking", "recency", "final_score"])
+def test_rows_of_all_tables(spark, tables, name):
     ids = lambda q: sorted(r[0] for r in CORE[q](spark, tables).select("article_ix").collect())
-    assert ids(f"all_{name}") == ids("union_registry")
+    assert ids(name) == ids("union_registry")
 
 
-def test_all_pairs_reach_twitter(spark, tables):
+def test_pairs_reach_twitter(spark, tables):
     kind = lambda ix: ix // 10**13
-    for name in ("all_candidate_pairs", "all_pair_jaccard", "all_comparable_pairs", "fuzzy_pairs"):
+    for name in ("candidate_pairs", "pair_jaccard", "comparable_pairs", "fuzzy_pairs"):
         kinds = {(kind(r[0]), kind(r[1])) for r in CORE[name](spark, tables).select("i", "j").collect()}
         assert (2, 2) in kinds and (1, 2) in kinds, name
     parts = {}
-    for r in CORE["all_exact_components"](spark, tables).collect():
+    for r in CORE["exact_components"](spark, tables).collect():
         parts.setdefault(r["component"], set()).add(r["vertex"])
     by = {}
-    for r in CORE["all_norm_title"](spark, tables).where("norm_title <> ''").collect():
+    for r in CORE["norm_title"](spark, tables).where("norm_title <> ''").collect():
         by.setdefault(r["norm_title"], set()).add(r["article_ix"])
     assert any({kind(x) for x in p} >= {1, 2} for p in parts.values())
     assert all(any(same <= p for p in parts.values()) for same in by.values() if len(same) > 1)
 
 
-def test_all_scores_cover_twitter(spark, tables):
-    canon = CORE["all_canonical_pick"](spark, tables).collect()
+@pytest.mark.parametrize("name", ["canonical_pick", "all_canonical_pick"])
+def test_scores_cover_twitter(spark, tables, name):
+    canon = CORE[name](spark, tables).collect()
     assert any(r["article_ix"] // 10**13 == 2 for r in canon) and any(r["multi_source"] for r in canon)
     assert all(r["first_ix"] <= r["article_ix"] for r in canon) and len({r["article_ix"] for r in canon}) == len(canon)
