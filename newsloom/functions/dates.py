@@ -18,7 +18,7 @@ ZONE_MINUTES = {
     "AEDT": 660, "NZST": 720, "NZDT": 780, "BRT": -180, "ART": -180, "AST": -240, "ADT": -180, "EST": -300, "EDT": -240,
     "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "AKST": -540, "AKDT": -480, "HST": -600,
 }
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTHS = "".join(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"))
 
 _MON = r"(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?"
 _DAY = r"(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+)?"

@@ -91,21 +91,34 @@ def truncate(value: Column, limit: int) -> Column:
 
 
 def truncate_at_space(value: Column, limit: int = 500) -> Column:
-    """Cut at the last space if that keeps more than 80 % of the limit."""
-    v = F.trim(text(value))
+    """Cut at the limit, or at the last space before it if that keeps more than 80 % of the limit, with an ellipsis."""
+    v = text(value)
     cut = F.substring(v, 1, limit)
     space = F.when(F.contains(cut, F.lit(" ")), F.length(cut) - F.instr(F.reverse(cut), " ")).otherwise(-1)
     kept = F.when(space > limit * 0.8, F.substring(cut, F.lit(1), space)).otherwise(cut)
-    return F.when(F.length(v) <= limit, v).otherwise(F.concat(F.rtrim(kept), F.lit("...")))
+    return F.when(F.length(v) <= limit, v).otherwise(F.concat(kept, F.lit("...")))
+
+
+# What counts as Markdown in release notes, in the order in which it is taken out.
+MARKDOWN = (
+    (r"\[([^\]]+)\]\([^)]+\)", "$1"),  # links
+    (r"\*+([^*]+)\*+", "$1"),  # emphasis by asterisks; underscores stay
+    (r"(?mU)^#+\s*", ""),  # headings
+    (r"```[^`]*```", ""),  # fences
+    (r"`([^`]+)`", "$1"),  # inline code
+)
 
 
 def strip_markdown(value: Column) -> Column:
-    """Links, emphasis, headings, fences and inline code to plain text, in this order."""
-    v = F.regexp_replace(text(value), r"\[([^\]]+)\]\([^)]+\)", "$1")
-    v = F.regexp_replace(v, r"[*_]{1,3}([^*_]+)[*_]{1,3}", "$1")
-    v = F.regexp_replace(v, r"(?m)^#{1,6}\s+", "")
-    v = F.regexp_replace(v, r"(?s)```.*?```", "")
-    return F.trim(F.regexp_replace(v, r"`([^`]+)`", "$1"))
+    out = text(value)
+    for pattern, kept in MARKDOWN:
+        out = F.regexp_replace(out, pattern, kept)
+    return out
+
+
+def release_summary(body: Column, limit: int = 500) -> Column:
+    """Release notes as one line of plain text."""
+    return truncate_at_space(collapse(strip_markdown(body)), limit)
 
 
 def search_term(term: Column, exclude: bool = False) -> Column:

@@ -19,6 +19,7 @@ def primary_link() -> Column:
     return X.first_filled(F.col("link"), F.col("reddit_url"), F.col("external_url"))
 
 
+# Weights of the noise signals.
 NOISE_WEIGHTS = {"embedded_url_text": 1.5, "embedded_external_redirect": 1.5, "tracking_url": 1.5, "engagement_chrome": 1.0, "promotion_shape": 1.5, "short_low_information_title": 1.0}
 
 

@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     e = checkpointed(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     for _ in range(max_rounds):
-        e = checkpointed(_star(_star(e, False), True))
+        # cut between the stars too: the second names its edges twice and would plan the first as often
+        e = checkpointed(_star(checkpointed(_star(e, False)), True))
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break

@@ -94,6 +94,7 @@ def url_hint() -> Column:
 
 def weighted(jac: Column, hint: Column, fuzzy: Column, words: Column) -> Column:
     """Weighted mix of the fuzzy ratios, token overlap and URL hint, with its two floors, at most 1."""
+    # fixed values: weights and floors
     ts, pa, di = fuzzy["token_set"], fuzzy["partial"], fuzzy["direct"]
     score = 0.35 * ts + 0.25 * pa + 0.20 * jac + 0.10 * di + 0.10 * hint
     score = F.when((ts >= 0.95) & (di >= 0.9), F.greatest(score, F.lit(0.93))).otherwise(score)
@@ -148,17 +149,22 @@ def history_candidates(features: DataFrame, history: DataFrame, params: Params =
 def history_scores(features: DataFrame, history: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """article_ix, history_score (a penalty) of the articles whose title is near an archived one.
 
-    Archived titles have no link: URL and domain give no hint.
+    Archived titles have no link: URL and domain give no hint. An equal title or compact title is met by a join of its own,
+    whatever the bounds on tokens; only articles without one look for candidates.
     """
     archived = history.withColumns({"norm_url": F.lit(""), "domain": F.lit("")})
-    keys = archived.where("norm_title <> ''").select("norm_title").distinct()
-    equal = features.join(keys, "norm_title", "left_semi").select("article_ix", F.lit(1.0).alias("similarity"))
-    near = history_candidates(features, archived, params).select(F.col("article_ix").alias("i"), F.col("h_ix").alias("j"))
+    found = []
+    for key in ("norm_title", "compact_title"):
+        known = archived.where(F.col(key) != "").select(key).distinct()
+        found.append(features.join(known, key, "left_semi").select("article_ix"))
+    equal = found[0].unionByName(found[1]).distinct().select("article_ix", F.lit(1.0).alias("similarity"))
+    other = features.join(equal.select("article_ix"), "article_ix", "left_anti")
+    near = history_candidates(other, archived, params).select(F.col("article_ix").alias("i"), F.col("h_ix").alias("j"))
     a = features.select(F.col("article_ix").alias("i"), *[F.col(c).alias(f"a_{c}") for c in FEATURES])
     b = archived.select(F.col("article_ix").alias("j"), *[F.col(c).alias(f"b_{c}") for c in FEATURES])
     both = measured(near.join(a, "i").join(b, "j"))
     both = both.where(can_reach(min(t for t, _ in params.history_tiers)))
-    sim = F.when(_same("compact_title"), 1.0).otherwise(weighted(F.col("jac"), F.col("url"), F.col("fuzzy"), F.col("words")))
+    sim = weighted(F.col("jac"), F.col("url"), F.col("fuzzy"), F.col("words"))
     scored = _fuzzy(both, params).select(F.col("i").alias("article_ix"), sim.alias("similarity"))
     best = equal.unionByName(scored).groupBy("article_ix").agg(F.max("similarity").alias("similarity"))
     return best.select("article_ix", "similarity", ladder(F.col("similarity"), list(params.history_tiers)).alias("history_score"))

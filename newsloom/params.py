@@ -8,6 +8,25 @@ from dataclasses import dataclass, field
 REGISTRY = ("rss", "twitter", "google", "github", "github_trending", "api", "v2ex", "zhihu", "weibo", "toutiao", "reddit")
 
 
+# Scores of engagement and the marks of which one must be reached.
+ENGAGEMENT = {
+    "twitter": (
+        (5, (("like_count", 1000), ("retweet_count", 500), ("reply_count", 300))),
+        (3, (("like_count", 500), ("retweet_count", 200), ("reply_count", 150))),
+        (2, (("like_count", 100), ("retweet_count", 50), ("reply_count", 60))),
+        (1, (("like_count", 50), ("retweet_count", 20), ("reply_count", 20))),
+    ),
+    "reddit": (
+        (5, (("score", 1000), ("num_comments", 300))),
+        (3, (("score", 500), ("num_comments", 150))),
+        (2, (("score", 200), ("num_comments", 80))),
+        (1, (("score", 100), ("num_comments", 30))),
+    ),
+    "v2ex": ((5, (("replies", 200),)), (3, (("replies", 100),)), (2, (("replies", 50),)), (1, (("replies", 20),))),
+}
+
+
+# Bounds, thresholds and scores of the pipeline.
 @dataclass(frozen=True)
 class Params:
     now: str = "2026-04-21T00:00:00+00:00"
@@ -30,13 +49,7 @@ class Params:
     fuzzy_backend: str = "indel"
     noise_limit: float = 4.0
     #: source_type -> ((score, ((metric, least), ...)), ...), highest first; one metric that reaches its mark suffices
-    engagement: dict = field(
-        default_factory=lambda: {
-            "twitter": tuple((s, tuple(zip(("like_count", "retweet_count", "reply_count"), m))) for s, m in ((5, (1000, 500, 300)), (3, (500, 200, 150)), (2, (100, 50, 60)), (1, (50, 20, 20)))),
-            "reddit": tuple((s, tuple(zip(("score", "num_comments"), m))) for s, m in ((5, (1000, 300)), (3, (500, 150)), (2, (200, 80)), (1, (100, 30)))),
-            "v2ex": tuple((s, (("replies", m),)) for s, m in ((5, 200), (3, 100), (2, 50), (1, 20))),
-        }
-    )
+    engagement: dict = field(default_factory=lambda: ENGAGEMENT)
 
 
 DEFAULTS = Params()

@@ -47,6 +47,15 @@ def noise_signals(spark, sf):
     return A.with_noise(articles(spark, sf)).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
+def noise_stressed(spark, sf):
+    """The noise rules on articles that are made promotional: a price before the title's beginning, a link and counts behind the summary."""
+    n = F.col("article_ix") % 4
+    title = F.when(n == 0, F.col("title")).otherwise(F.concat(F.lit("5折 "), F.substring("title", 1, 20)))
+    summary = F.when(n <= 1, F.col("summary")).otherwise(F.concat(X.text(F.col("summary")), F.lit(" https://shop.example/x 12 comments"), F.when(n == 3, " 7 posts").otherwise("")))
+    d = A.with_noise(articles(spark, sf).withColumns({"title": title, "summary": summary}))
+    return d.select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
+
+
 def noise_removed(spark, sf):
     d = A.with_noise(articles(spark, sf))
     return d.groupBy("source_type").agg(F.count("*").alias("total"), F.count_if("is_noise").alias("removed"))
@@ -185,7 +194,7 @@ def distribution(spark, sf):
 
 
 def timing_summary(spark, sf):
-    return diagnostics.timing_summary(traces(spark, sf), ["step_key"])
+    return diagnostics.timing_summary(diagnostics.normalized_traces(traces(spark, sf)), ["step_key"])
 
 
 def slow_buckets(spark, sf):
@@ -238,7 +247,7 @@ def html_clean(spark, sf):
 
 def release_summary(spark, sf):
     d = read(spark, sf, "documents")
-    return d.select("doc_id", X.truncate_at_space(X.strip_markdown(F.col("text")), 500).alias("summary"))
+    return d.select("doc_id", X.release_summary(F.col("text")).alias("summary"))
 
 
 def human_numbers(spark, sf):
@@ -277,7 +286,7 @@ def top_engaged(spark, sf):
 
 
 _CORE = (
-    union_registry, norm_title, norm_url, noise_signals, noise_removed, word_tokens, bigram_sets, history_anti_join, same_day_seen, candidate_pairs,
+    union_registry, norm_title, norm_url, noise_signals, noise_stressed, noise_removed, word_tokens, bigram_sets, history_anti_join, same_day_seen, candidate_pairs,
     pair_jaccard, comparable_pairs, fuzzy_pairs, exact_components, hot_scores, history_penalty, engagement_tiers, recency, fetch_rank, final_score,
     canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, distribution, timing_summary, slow_buckets, failed_items,
     step_runs, pipeline_status, health_history, overlay_merge, topic_labels, config_violations, first_wins, html_clean, release_summary, human_numbers,

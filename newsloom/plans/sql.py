@@ -143,6 +143,18 @@ RUNS = f"""{TRACES}, runs AS (SELECT step_key, run_date, count(*) AS calls_total
   round_even(least(sum(active_s), sum(total_s)), 3) AS elapsed_s FROM tr GROUP BY 1, 2)"""
 
 
+def release_summary(t: str) -> str:
+    x = f"coalesce({t}, '')"
+    for pattern, kept in ((r"\[([^\]]+)\]\([^)]+\)", r"\1"), (r"\*+([^*]+)\*+", r"\1"), (f"(?m)^#+{WS[:-1]}*", ""), ("```[^`]*```", ""), ("`([^`]+)`", r"\1")):
+        x = f"regexp_replace({x}, '{pattern}', '{kept}', 'g')"
+    return collapse(x)
+
+
+#: From m(*, v): summary, cut at 500 characters or at the last blank before, if it stands after 400.
+CUT = """cut1 AS (SELECT *, v[:500] AS head, CASE WHEN contains(v[:500], ' ') THEN length(v[:500]) - instr(reverse(v[:500]), ' ') ELSE -1 END AS space FROM m),
+    cut2 AS (SELECT *, CASE WHEN length(v) <= 500 THEN v ELSE CASE WHEN space > 400 THEN substring(head, 1, space) ELSE head END || '...' END AS summary FROM cut1)"""
+
+
 def _quantiles() -> str:
     out = []
     for side in ("active", "total"):
@@ -164,6 +176,9 @@ def oracle_sql() -> dict[str, str]:
     z AS (SELECT *, 1.5::DOUBLE * (embedded_url_text::INT + embedded_external_redirect::INT + tracking_url::INT + promotion_shape::INT) + engagement_chrome::INT + short_low_information_title::INT AS noise_score FROM s),
     y AS (SELECT *, noise_score >= 4.0 AND ((engagement_chrome AND (embedded_url_text OR embedded_external_redirect)) OR (tracking_url AND promotion_shape)
       OR (promotion_shape AND short_low_information_title AND (embedded_url_text OR embedded_external_redirect OR tracking_url))) AS is_noise FROM z)"""
+    stressed = noise.replace("plain AS (", "plain0 AS (", 1).replace("""), t AS (SELECT""", """), plain AS (SELECT * REPLACE (
+      CASE WHEN article_ix % 4 = 0 THEN title ELSE '5折 ' || substring(title, 1, 20) END AS title,
+      CASE WHEN article_ix % 4 <= 1 THEN summary ELSE coalesce(summary, '') || ' https://shop.example/x 12 comments' || CASE WHEN article_ix % 4 = 3 THEN ' 7 posts' ELSE '' END END AS summary) FROM plain0), t AS (SELECT""", 1)
     signals = "embedded_url_text, embedded_external_redirect, tracking_url, engagement_chrome, promotion_shape, short_low_information_title"
     primary = "coalesce(nullif(link, ''), nullif(reddit_url, ''), nullif(external_url, ''), '')"
     shown = f"coalesce(nullif(title, ''), {primary})"
@@ -180,6 +195,7 @@ def oracle_sql() -> dict[str, str]:
         "norm_title": f"WITH {FEATS} SELECT article_ix, norm_title, compact_title FROM feats",
         "norm_url": f"WITH {FEATS} SELECT article_ix, norm_url, domain, {tracking('link')} AS tracking FROM feats",
         "noise_signals": f"WITH {noise} SELECT article_ix, {signals}, noise_score, is_noise FROM y",
+        "noise_stressed": f"WITH {stressed} SELECT article_ix, {signals}, noise_score, is_noise FROM y",
         "noise_removed": f"WITH {noise} SELECT source_type, count(*) AS total, count(*) FILTER (is_noise) AS removed FROM y GROUP BY 1",
         "word_tokens": f"WITH {FEATS} SELECT article_ix, len(word_tokens) AS n, array_to_string(list_sort(word_tokens), ' ') AS words FROM feats",
         "bigram_sets": f"WITH {FEATS} SELECT article_ix, coalesce(array_to_string(list_sort(cjk_bigrams), ' '), '') AS cjk, coalesce(array_to_string(list_sort(compact_bigrams), ' '), '') AS compact FROM feats",
@@ -209,7 +225,7 @@ def oracle_sql() -> dict[str, str]:
         "distribution": """SELECT t AS source_type, CASE t WHEN 'rss' THEN (SELECT count(*) FROM rss_articles) WHEN 'twitter' THEN (SELECT count(*) FROM twitter_articles)
           WHEN 'google' THEN (SELECT count(*) FROM web_articles) WHEN 'reddit' THEN (SELECT count(*) FROM reddit_articles) ELSE 0 END AS n
           FROM unnest(['rss', 'twitter', 'google', 'github', 'github_trending', 'api', 'v2ex', 'zhihu', 'weibo', 'toutiao', 'reddit']) u(t)""",
-        "timing_summary": f"WITH {TRACES} SELECT step_key, count(*) AS requests, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status <> 'ok') AS errors, {_quantiles()} FROM tr GROUP BY 1",
+        "timing_summary": f"WITH {TRACES}, tr3 AS (SELECT * REPLACE (round_even(active_s, 3) AS active_s, round_even(total_s, 3) AS total_s) FROM tr) SELECT step_key, count(*) AS requests, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status <> 'ok') AS errors, {_quantiles()} FROM tr3 GROUP BY 1",
         "slow_buckets": f"""WITH {TRACES}, g AS (SELECT step_key, count(*) AS total, count(*) FILTER (active_s >= 3 AND active_s < 5) AS b0, count(*) FILTER (active_s >= 5) AS b1 FROM tr GROUP BY 1)
           SELECT step_key, total, '3.0-5.0' AS bucket, b0 AS n, round_even(b0 / total::DOUBLE, 4) AS rate FROM g UNION ALL SELECT step_key, total, '5.0+', b1, round_even(b1 / total::DOUBLE, 4) FROM g""",
         "failed_items": f"WITH {TRACES} SELECT trace_id, step_key, error, round_even(active_s, 3) AS active_s FROM tr WHERE status <> 'ok'",
@@ -235,11 +251,7 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT source_id, 'topic is unknown' FROM reddit_subreddits WHERE topic IS NOT NULL AND topic NOT IN (SELECT topic_id FROM web_topics)
           UNION ALL SELECT source_id, 'id is used twice' FROM reddit_subreddits GROUP BY 1 HAVING count(*) > 1""",
         "first_wins": "SELECT min(article_id) AS article_id, topic, link FROM web_articles WHERE link <> '' GROUP BY topic, link",
-        "release_summary": rf"""WITH m AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\[([^\]]+)\]\([^)]+\)', '\1', 'g') AS v FROM documents),
-          m2 AS (SELECT doc_id, regexp_replace(v, '[*_]{{1,3}}([^*_]+)[*_]{{1,3}}', '\1', 'g') AS v FROM m), m3 AS (SELECT doc_id, regexp_replace(v, '(?m)^#{{1,6}}\s+', '', 'g') AS v FROM m2),
-          m4 AS (SELECT doc_id, trim(trim(regexp_replace(regexp_replace(v, '(?s)```.*?```', '', 'g'), '`([^`]+)`', '\1', 'g'))) AS v FROM m3),
-          m5 AS (SELECT doc_id, v, v[:500] AS cut FROM m4), m6 AS (SELECT *, CASE WHEN contains(cut, ' ') THEN length(cut) - instr(reverse(cut), ' ') ELSE -1 END AS space FROM m5)
-          SELECT doc_id, CASE WHEN length(v) <= 500 THEN v ELSE rtrim(CASE WHEN space > 400 THEN substring(cut, 1, space) ELSE cut END) || '...' END AS summary FROM m6""",
+        "release_summary": f"""WITH m AS (SELECT doc_id, {release_summary('text')} AS v FROM documents), {CUT} SELECT doc_id, summary FROM cut2""",
         "human_numbers": """SELECT article_id, CASE article_id % 3 WHEN 0 THEN score * 10000 WHEN 1 THEN round(score / 10.0, 1) * 100000000 ELSE score END::BIGINT AS number FROM reddit_articles WHERE score IS NOT NULL""",
         "stars_per_day": """WITH o AS (SELECT o_custkey, count(*) AS stars, min(o_orderdate)::DATE AS created FROM orders GROUP BY 1)
           SELECT o_custkey, stars, round_even(stars / greatest(1, date_diff('day', created, DATE '2000-01-01'))::DOUBLE, 6) AS daily FROM o""",

@@ -56,8 +56,8 @@ def entries(content: str, base: str) -> list[tuple[str, str, str, str]]:
 
 
 def is_feed(content: Column, content_type: Column) -> Column:
-    head = F.lower(F.substring(F.ltrim(X.text(content)), 1, 2000))
-    return head.rlike("<rss|<feed|<rdf") | F.lower(X.text(content_type)).rlike("rss|atom|xml")
+    """Whether the content type says so, or a feed's element stands anywhere in the text."""
+    return F.lower(X.text(content_type)).rlike("rss|atom|xml") | X.text(content).rlike("(?i)<rss|<feed|<rdf")
 
 
 def parse_feeds(feeds: DataFrame, cutoff: Column | None = None, per_feed: int = 20) -> DataFrame:

@@ -92,3 +92,14 @@ def test_fuzzy_ratios():
 
     for a, b in (("abca", "xbcaaby"), ("aabb", "babaabab"), ("q", "abc"), ("abc de", "ab cde fg")):
         assert udf.partial_ratio(a, b) == pytest.approx(slow(a, b))
+
+
+def test_release_summary(spark):
+    texts = {
+        "# Head\n\nuses `snake_case_name` and **bold**\n\n\n*em* [link](https://x.example)": "Head uses snake_case_name and bold em link",
+        "```\ncode\n```  after\t\u3000gap": "after gap",
+        "a" * 300 + " " + "b" * 150 + " " + "c" * 100: "a" * 300 + " " + "b" * 150 + "...",
+        "a" * 300 + " " + "b" * 300: "a" * 300 + " " + "b" * 199 + "...",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.release_summary(F.col("t")).alias("s"))
+    assert {r["t"]: r["s"] for r in df.collect()} == texts

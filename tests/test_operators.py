@@ -63,6 +63,19 @@ def test_history_score(spark):
     assert got == {0: -16.0}
 
 
+def test_history_score_of_equal_compact_titles_needs_no_bucket(spark):
+    # more archived titles share every token than a bucket may have
+    old = S.features_of(frame(spark, [{"title": "Open AI news"}] + [{"title": f"Open AI news number {i}"} for i in range(150)]))
+    new = S.features_of(frame(spark, [{"title": "OpenAI news"}]))
+    assert [(r["similarity"], r["history_score"]) for r in S.history_scores(new, old).collect()] == [(1.0, -16.0)]
+
+
+def test_seen_by_any_link(spark):
+    old = frame(spark, [{"title": "x", "link": "https://t.example/1"}])
+    new = frame(spark, [{"title": "y", "reddit_url": "https://T.example/1/"}, {"title": "z", "link": "", "external_url": "https://t.example/1"}, {"title": "w", "link": "https://t.example/2", "reddit_url": "https://t.example/1"}])
+    assert [r["article_ix"] for r in A.not_seen_today(new, old).collect()] == [2]
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(4)
     edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 380)]

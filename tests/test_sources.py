@@ -40,12 +40,26 @@ def test_envelope(spark):
 
 
 def test_streams(spark, tmp_path):
-    rows = [("a", "https://h.example/1", "2025-01-01 00:00:00"), ("A", "https://h.example/1/", "2025-01-01 00:01:00"), ("b", "https://old.example/x", "2025-01-01 00:02:00")]
+    rows = [("a", "https://h.example/1", "2025-01-01 00:00:00"), ("A", "https://h.example/1/", "2025-01-01 00:01:00"), ("b", "https://old.example/x", "2025-01-01 00:02:00"), ("Old news!", "https://new.example/y", "2025-01-01 00:03:00")]
     df = spark.createDataFrame(rows, "title string, link string, at string").withColumn("at", F.col("at").cast("timestamp"))
     df.write.parquet(str(tmp_path / "in"))
-    history = spark.createDataFrame([("https://www.old.example/x/",)], "link string")
+    history = spark.createDataFrame([("old NEWS", "https://www.old.example/x/"), (None, "")], "title string, link string")
     stream = incremental.fresh_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), history, "at")
     q = stream.writeStream.format("memory").queryName("fresh").outputMode("append").start()
     q.processAllAvailable()
     q.stop()
     assert [r["link"].rstrip("/") for r in spark.table("fresh").collect()] == ["https://h.example/1"]
+
+
+def test_stream_drops_by_title_or_link(spark, tmp_path):
+    times = [f"2025-01-01 00:0{i}:00" for i in range(6)]
+    rows = list(zip(["same", "Same", "other", "", "", "third"], ["https://h.example/1", "https://h.example/2", "https://h.example/1", "https://h.example/4", "https://h.example/5", ""], times))
+    df = spark.createDataFrame(rows, "title string, link string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    for i in range(6):
+        df.where(F.col("at") == F.lit(times[i]).cast("timestamp")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    history = spark.createDataFrame([], "title string, link string")
+    stream = incremental.fresh_stream(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), history, "at")
+    q = stream.writeStream.format("memory").queryName("fresh2").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r["title"], r["link"]) for r in spark.table("fresh2").collect()) == [("", "https://h.example/4"), ("", "https://h.example/5"), ("same", "https://h.example/1"), ("third", "")]
