@@ -193,7 +193,8 @@ def mixed(sizes: DataFrame, targets: DataFrame, *, total_tokens: int | None = No
     plan = spark.createDataFrame(rows, "group bigint, first_shard bigint, shards bigint, drawn array<struct<source:string,n:bigint,first:bigint>>").repartition("group")
     picked = slots_of_shards(plan, n_blocks, keys, seed)
     parts = blocks_of(sizes, block, max((r["docs"] for r in held), default=0))
-    return picked.join(parts, ["source", "block_no"]).select("shard", "slot", "source", "round", "block_no", "doc_id", "start_token", "n_tokens")
+    # by merge: a side below the broadcast threshold at one size is beyond any at another
+    return picked.hint("merge").join(parts, ["source", "block_no"]).select("shard", "slot", "source", "round", "block_no", "doc_id", "start_token", "n_tokens")
 
 
 def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:
