@@ -190,7 +190,8 @@ def mixed(sizes: DataFrame, targets: DataFrame, *, total_tokens: int | None = No
     for g, s, n, first, _ in shard_counts(slots, groups, (seed, 0), widths):
         of.setdefault(g, []).append((s, n, first))
     rows = [(g, edges[g], widths[g], x) for g, x in of.items()]
-    plan = spark.createDataFrame(rows, "group bigint, first_shard bigint, shards bigint, drawn array<struct<source:string,n:bigint,first:bigint>>").repartition("group")
+    plan = spark.createDataFrame(rows, "group bigint, first_shard bigint, shards bigint, drawn array<struct<source:string,n:bigint,first:bigint>>").repartitionById(groups, F.col("group").cast("int"))
+    # a task a group: left to itself, Spark would fold so small a table into one task
     picked = slots_of_shards(plan, n_blocks, keys, seed)
     parts = blocks_of(sizes, block, max((r["docs"] for r in held), default=0))
     # by merge: a side below the broadcast threshold at one size is beyond any at another
