@@ -148,3 +148,10 @@ def recency_score(ts: Column, now: Column) -> Column:
     """1.5 under 6 hours of age (and for the future), 1.0 under 24, else 0; 0 without a date."""
     hours = (F.unix_micros(now) - F.unix_micros(ts)) / 3.6e9
     return F.when(hours < 6, 1.5).when(hours < 24, 1.0).otherwise(0.0)
+
+
+def iso_text(second: Column) -> Column:
+    """Whole seconds since 1970 as ISO text in UTC, whatever the session's zone; null for null."""
+    day, rest = F.floor(second / 86400), F.pmod(second, F.lit(86400))
+    clock = F.format_string("T%02d:%02d:%02d+00:00", F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))
+    return F.when(second.isNotNull(), F.concat(F.date_from_unix_date(day.cast("int")).cast("string"), clock))

@@ -20,7 +20,7 @@ from newsloom.operators import ranking as R
 from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
 from newsloom.params import DEFAULTS
-from newsloom.plans import sql
+from newsloom.plans import services, sql
 from newsloom.plans.pipeline import scored_stories, top_stories
 from newsloom.session import written
 from newsloom.sources.tables import ARTICLE, articles, read, traces
@@ -297,7 +297,7 @@ _ALL = (final_score, canonical_pick, cluster_topic, topic_order, round_robin_top
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in _CORE} | {f"all_{f.__name__}": partial(f, whole=True) for f in _ALL} | {
+    return {f.__name__: f for f in _CORE} | services.queries() | {f"all_{f.__name__}": partial(f, whole=True) for f in _ALL} | {
         "top_stories": top_stories,
         "p3_found": timestamps.p3_found,
         "p3_how": timestamps.p3_how,
@@ -306,4 +306,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.oracle_sql()
+    return sql.oracle_sql() | services.oracle_sql()

@@ -19,9 +19,14 @@ STEP = f"generated string, source_type string, articles array<{ITEM}>"
 OUTPUT = "generated_at string, topics array<struct<id:string,title:string,items:array<struct<title:string,link:string>>>>"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_step(spark: SparkSession, path: str, source_type: str) -> DataFrame:
-    """Articles of one step file with the merge's defaults; a file that can't be parsed gives no rows."""
-    files = spark.read.text(path, wholetext=True)
+    """Articles of one step file with the merge's defaults; a missing file, or one that can't be parsed, gives no rows."""
+    files = spark.read.text(path, wholetext=True) if exists(spark, path) else spark.createDataFrame([], "value string")
     parsed = files.select(F.from_json("value", STEP, {"mode": "PERMISSIVE"}).alias("p"))
     rows = parsed.select(F.posexplode("p.articles").alias("pos", "a")).where("a IS NOT NULL").select("pos", "a.*")
     topic = first_filled(F.trim(F.col("topic")), F.lit("uncategorized"))
@@ -38,14 +43,6 @@ def read_steps(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [read_step(spark, paths[t], t) for t in REGISTRY if t in paths])
 
 
-def envelope(payload: Column, names: tuple[str, ...] = ("tweets", "posts", "items", "results", "data", "questions", "realtime", "news")) -> Column:
-    """Items of a service's JSON answer: the list itself, or the first list under a known key, one level of nesting deep."""
-    v = F.try_parse_json(payload)
-    kind = "array<variant>"
-    found = [F.try_variant_get(v, "$", kind), *[F.try_variant_get(v, f"$.{n}", kind) for n in names], *[F.try_variant_get(v, f"$.{a}.{b}", kind) for a in ("data", "result") for b in names]]
-    return F.coalesce(*found)
-
-
 def archive_items(spark: SparkSession, root: str, before: str | None = None, on: str | None = None) -> DataFrame:
     """run_date, title, link of archived outputs; duplicates stay. The predicate on run_date prunes partitions.
 

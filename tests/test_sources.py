@@ -24,7 +24,7 @@ def test_feeds(spark):
 def test_steps_and_archive(spark, tmp_path):
     (tmp_path / "rss.json").write_text(json.dumps({"articles": [{"title": "a", "source_priority": 99}, {"title": "b", "topic": " ai "}]}))
     (tmp_path / "reddit.json").write_text("not json")
-    rows = steps.read_steps(spark, {"rss": str(tmp_path / "rss.json"), "reddit": str(tmp_path / "reddit.json")}).collect()
+    rows = steps.read_steps(spark, {"rss": str(tmp_path / "rss.json"), "reddit": str(tmp_path / "reddit.json"), "api": str(tmp_path / "absent.json")}).collect()
     assert [(r["title"], r["source_priority"], r["topic"]) for r in sorted(rows, key=lambda r: r["article_ix"])] == [("a", 10, "uncategorized"), ("b", 3, "ai")]
     selected = spark.createDataFrame([("ai", 2, "t2", "l2"), ("ai", 1, "t1", "l1")], "topic string, rank int, title string, link string")
     for day in ("2025-09-01", "2025-09-02"):
@@ -33,12 +33,6 @@ def test_steps_and_archive(spark, tmp_path):
     assert [(r["title"], r["link"]) for r in back] == [("t1", "l1"), ("t2", "l2")]
 
 
-def test_envelope(spark):
-    texts = ['[{"a":1}]', '{"results":[1,2]}', '{"data":{"items":[1,2,3]}}', '{"x":1}', "oops", None]
-    got = [r["n"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(F.size(steps.envelope(F.col("t"))).alias("n")).collect()]
-    assert [n if n and n > 0 else 0 for n in got] == [1, 2, 3, 0, 0, 0]
-
-
 def test_streams(spark, tmp_path):
     rows = [("a", "https://h.example/1", "2025-01-01 00:00:00"), ("A", "https://h.example/1/", "2025-01-01 00:01:00"), ("b", "https://old.example/x", "2025-01-01 00:02:00"), ("Old news!", "https://new.example/y", "2025-01-01 00:03:00")]
     df = spark.createDataFrame(rows, "title string, link string, at string").withColumn("at", F.col("at").cast("timestamp"))
