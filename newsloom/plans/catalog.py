@@ -16,6 +16,8 @@ from newsloom.functions import text as X
 from newsloom.functions import url as U
 from newsloom.operators import articles as A
 from newsloom.operators import config, diagnostics, timestamps
+from newsloom.operators import documents as D
+from newsloom.operators import matches as M
 from newsloom.operators import ranking as R
 from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
@@ -189,6 +191,56 @@ def markdown_lines(spark, sf, whole=False):
     return R.markdown_lines(R.top_per_topic(R.canonical(_scored(spark, sf, whole)))).select("topic", F.col("rank").cast("bigint").alias("rank"), "line")
 
 
+def _exact_matches(spark, sf):
+    arts = written(A.with_features(articles(spark, sf)), "features")
+    pairs = S.exact_pairs(arts).distinct().withColumn("similarity", F.lit(1.0))
+    return M.article_matches(pairs, arts, DEFAULTS.hot_threshold), _exact_components(arts)
+
+
+def article_matches(spark, sf):
+    """Matches by equal URL or title; the pipeline's have the fuzzy ones too (all_article_matches)."""
+    return _exact_matches(spark, sf)[0]
+
+
+def cluster_matches(spark, sf):
+    return M.cluster_matches(*_exact_matches(spark, sf)).withColumn("match_rank", F.col("match_rank").cast("bigint"))
+
+
+def all_article_matches(spark, sf):
+    arts = written(A.with_features(articles(spark, sf)), "features")
+    f = arts.select("article_ix", *S.FEATURES)
+    return M.article_matches(S.scored_pairs(S.candidate_pairs(f), f, DEFAULTS.hot_threshold), arts, DEFAULTS.hot_threshold)
+
+
+def _selection(spark, sf):
+    """(canonical rows, selected rows, topics) of the exact scores."""
+    canon = written(R.canonical(_scored(spark, sf, False)), "canonical")
+    topics = R.topic_order(canon, R.source_order(canon)).withColumn("topic_title", X.humanize_id(F.col("primary_topic")))
+    return canon, written(R.top_per_topic(canon), "selected"), written(topics, "topics")
+
+
+def merged_output(spark, sf):
+    """Merged articles as JSON with their place in their source type, and fields of them read back."""
+    d = D.merged_articles(R.canonical(_scored(spark, sf, False)))
+    got = lambda p: F.get_json_object("json", f"$.{p}")
+    return d.select("article_ix", "source_type", F.col("position").cast("bigint").alias("position"), got("title").alias("title"), got("primary_topic").alias("primary_topic"), got("final_score").cast("double").alias("final_score"), got("score_components.local_extra_score").cast("double").alias("extra"), F.contains("json", F.lit('"summary":')).alias("has_summary"))
+
+
+def hotspot_items(spark, sf):
+    """The items of the run's document, read back from its JSON."""
+    canon, selected, topics = _selection(spark, sf)
+    doc = D.hotspots_document(selected, canon, topics, DEFAULTS.now)
+    kind = "topics array<struct<id:string,available_article_count:bigint,items:array<struct<rank:bigint,title:string,link:string,hotspot_score:double,source_type:string,metrics:struct<likes:bigint,comments:bigint>,selection_debug:struct<selection_order:bigint>>>>>"
+    t = doc.select(F.explode(F.from_json("value", kind)["topics"]).alias("t")).select("t.id", "t.available_article_count", F.explode("t.items").alias("i"))
+    return t.select(F.col("id").alias("topic"), F.col("available_article_count").alias("available"), "i.rank", "i.title", "i.link", "i.hotspot_score", "i.source_type", F.col("i.metrics.likes").alias("likes"), F.col("i.metrics.comments").alias("comments"), F.col("i.selection_debug.selection_order").alias("selection_order"))
+
+
+def markdown_document(spark, sf):
+    canon, selected, topics = _selection(spark, sf)
+    fetched = {r["source_type"]: r["count"] for r in canon.groupBy("source_type").count().collect()}
+    return D.markdown_document(selected, topics, generated_at=DEFAULTS.now, fetched=fetched)
+
+
 def distribution(spark, sf):
     return R.distribution(articles(spark, sf)).select("source_type", "n")
 
@@ -288,7 +340,7 @@ def top_engaged(spark, sf):
 _CORE = (
     union_registry, norm_title, norm_url, noise_signals, noise_stressed, noise_removed, word_tokens, bigram_sets, history_anti_join, same_day_seen, candidate_pairs,
     pair_jaccard, comparable_pairs, fuzzy_pairs, exact_components, hot_scores, history_penalty, engagement_tiers, recency, fetch_rank, final_score,
-    canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, distribution, timing_summary, slow_buckets, failed_items,
+    canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, article_matches, cluster_matches, all_article_matches, merged_output, hotspot_items, markdown_document, distribution, timing_summary, slow_buckets, failed_items,
     step_runs, pipeline_status, health_history, overlay_merge, topic_labels, config_violations, first_wins, html_clean, release_summary, human_numbers,
     stars_per_day, window_cutoff, search_queries, feed_dates, top_engaged,
 )

@@ -136,6 +136,11 @@ TOP = f"""{CANON},
 t1 AS (SELECT *, row_number() OVER (PARTITION BY primary_topic, source_type ORDER BY final_score DESC, first_ix) AS turn FROM co),
 t2 AS (SELECT *, row_number() OVER (PARTITION BY primary_topic ORDER BY turn, source_order) AS selection_order FROM t1 WHERE turn <= 5),
 t3 AS (SELECT *, row_number() OVER (PARTITION BY primary_topic ORDER BY final_score DESC, source_order, coalesce(title, ''), first_ix) AS rank FROM t2 WHERE selection_order <= 5)"""
+MATCHES = f"""{FEATS}, ex AS (SELECT DISTINCT i, j FROM ({EXACT})), bi AS (SELECT i AS article_ix, j AS other FROM ex UNION ALL SELECT j, i FROM ex),
+met AS (SELECT bi.article_ix, other, b.source_type, coalesce(b.source_name, '') AS source_name, coalesce(b.topic, '') AS topic, coalesce(nullif(b.link, ''), nullif(b.reddit_url, ''), nullif(b.external_url, ''), '') AS link, b.title
+  FROM bi JOIN feats a ON bi.article_ix = a.article_ix JOIN feats b ON other = b.article_ix WHERE a.source_type <> b.source_type),
+am0 AS (SELECT article_ix, source_type, coalesce(nullif(title, ''), link) AS title, link, arg_min((source_name, topic), other) AS m FROM met GROUP BY 1, 2, 3, 4),
+am AS (SELECT article_ix, source_type, m[1] AS source_name, m[2] AS topic, title, link, 1.0::DOUBLE AS similarity FROM am0)"""
 TRACES = """tr AS (SELECT event_id AS trace_id, ts, 'step' || (user_id % 11) AS step_key, ts::DATE AS run_date, CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status,
   CASE WHEN event_type = 'error' THEN 'failed for user ' || user_id END AS error, value / 10 AS active_s, value / 10 + (props->>'$.k')::DOUBLE / 100 AS total_s FROM events)"""
 RUNS = f"""{TRACES}, runs AS (SELECT step_key, run_date, count(*) AS calls_total, count(*) FILTER (status = 'ok') AS calls_ok, count(*) FILTER (status <> 'ok') AS calls_failed,
@@ -187,6 +192,8 @@ def oracle_sql() -> dict[str, str]:
     score_text = "format('{:.1f}', round_even(final_score, 1))"
     metrics = "concat_ws(', ', CASE WHEN coalesce(likes, 0) <> 0 THEN 'likes=' || likes END, CASE WHEN coalesce(num_comments, 0) <> 0 THEN 'comments=' || num_comments END, CASE WHEN coalesce(reply_count, 0) <> 0 THEN 'replies=' || reply_count END, CASE WHEN coalesce(retweets, 0) <> 0 THEN 'retweets=' || retweets END, CASE WHEN coalesce(score, 0) <> 0 THEN 'score=' || score END)"
     summary = collapse("coalesce(nullif(snippet, ''), nullif(summary, ''), '')")
+    item_line = f"""rank || '. ⭐' || {score_text} || ' | ' || {shown} || CASE WHEN {summary} <> '' THEN ' - ' || {summary} ELSE '' END
+          || ' | *' || concat_ws(' - ', nullif(source_type, ''), nullif(coalesce(source_name, ''), '')) || '*' || CASE WHEN {metrics} <> '' THEN ' | *' || {metrics} || '*' ELSE '' END"""
     return {
         "union_registry": f"""SELECT 10000000000000 + article_id AS article_ix, 'rss' AS source_type, {PRIO} AS source_priority, title FROM rss_articles a LEFT JOIN feed_sources s ON a.source_id = s.source_id
           UNION ALL SELECT 20000000000000 + article_id, 'twitter', {PRIO}, title FROM twitter_articles a LEFT JOIN feed_sources s ON a.source_id = s.source_id
@@ -220,8 +227,24 @@ def oracle_sql() -> dict[str, str]:
         "topic_order": f"""WITH RECURSIVE {CANON}, g AS (SELECT primary_topic, count(*) AS available, min((-final_score, source_order, coalesce(title, ''))) AS b FROM co GROUP BY 1)
           SELECT primary_topic, available, row_number() OVER (ORDER BY b, primary_topic) AS topic_rank FROM g""",
         "round_robin_topn": f"WITH RECURSIVE {TOP} SELECT primary_topic AS topic, article_ix, selection_order, rank, turn FROM t3",
-        "markdown_lines": f"""WITH RECURSIVE {TOP} SELECT primary_topic AS topic, rank, rank || '. ⭐' || {score_text} || ' | ' || {shown} || CASE WHEN {summary} <> '' THEN ' - ' || {summary} ELSE '' END
-          || ' | *' || concat_ws(' - ', nullif(source_type, ''), nullif(coalesce(source_name, ''), '')) || '*' || CASE WHEN {metrics} <> '' THEN ' | *' || {metrics} || '*' ELSE '' END AS line FROM t3""",
+        "markdown_lines": f"WITH RECURSIVE {TOP} SELECT primary_topic AS topic, rank, {item_line} AS line FROM t3",
+        "article_matches": f"WITH {MATCHES} SELECT * FROM am",
+        "cluster_matches": f"""WITH RECURSIVE {MATCHES}, {COMPONENTS},
+          cm AS (SELECT coalesce(component, article_ix) AS component, source_type, title, link, arg_min((source_name, topic, similarity), article_ix) AS m FROM am LEFT JOIN comp ON article_ix = vertex GROUP BY 1, 2, 3, 4)
+          SELECT component, source_type, m[1] AS source_name, m[2] AS topic, title, link, m[3] AS similarity, row_number() OVER (PARTITION BY component ORDER BY m[3] DESC, source_type, title, link) AS match_rank FROM cm""",
+        "merged_output": f"""WITH RECURSIVE {CANON} SELECT article_ix, source_type, row_number() OVER (PARTITION BY source_type ORDER BY -final_score, coalesce(title, ''), article_ix) AS position, title, primary_topic, final_score,
+          extra_score AS extra, summary IS NOT NULL AS has_summary FROM canon""",
+        "hotspot_items": f"""WITH RECURSIVE {TOP}, g AS (SELECT primary_topic, count(*) AS available FROM co GROUP BY 1)
+          SELECT primary_topic AS topic, available, rank, {shown} AS title, {primary} AS link, round_even(final_score, 1) AS hotspot_score, source_type, nullif(likes, 0) AS likes, nullif(num_comments, 0) AS comments, selection_order
+          FROM t3 JOIN g USING (primary_topic)""",
+        "markdown_document": f"""WITH RECURSIVE {TOP}, g AS (SELECT primary_topic, row_number() OVER (ORDER BY min((-final_score, source_order, coalesce(title, ''))), primary_topic) AS topic_rank FROM co GROUP BY 1),
+          had AS (SELECT source_type, count(*) AS n FROM co GROUP BY 1), got AS (SELECT source_type, count(*) AS n FROM t3 GROUP BY 1),
+          front AS (SELECT 'summary: mode:daily | total_articles:' || (SELECT count(*) FROM t3) || ' | ' || string_agg(had.source_type || '(' || had.n || '→' || coalesce(got.n, 0) || ',fail=0)', ' | ' ORDER BY had.source_type) || ' | generated_at:2026-04-21T00:00:00+00:00' AS line FROM had LEFT JOIN got USING (source_type)),
+          lines AS (SELECT 0 AS a, 0 AS b, '---' AS line UNION ALL SELECT 0, 1, line FROM front UNION ALL SELECT 0, 2, '---' UNION ALL SELECT 0, 3, '# 2026-04-21 daily 全球科技与 AI 热点' UNION ALL SELECT 0, 4, ''
+            UNION ALL SELECT topic_rank, 0, '## ' || array_to_string(list_transform(string_split(replace(replace(primary_topic, '-', ' '), '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') FROM g
+            UNION ALL SELECT topic_rank, rank, {item_line} FROM t3 JOIN g USING (primary_topic)
+            UNION ALL SELECT topic_rank, 99, '' FROM g WHERE topic_rank < (SELECT max(topic_rank) FROM g))
+          SELECT row_number() OVER (ORDER BY a, b) AS line_no, line FROM lines""",
         "distribution": """SELECT t AS source_type, CASE t WHEN 'rss' THEN (SELECT count(*) FROM rss_articles) WHEN 'twitter' THEN (SELECT count(*) FROM twitter_articles)
           WHEN 'google' THEN (SELECT count(*) FROM web_articles) WHEN 'reddit' THEN (SELECT count(*) FROM reddit_articles) ELSE 0 END AS n
           FROM unnest(['rss', 'twitter', 'google', 'github', 'github_trending', 'api', 'v2ex', 'zhihu', 'weibo', 'toutiao', 'reddit']) u(t)""",
