@@ -155,3 +155,17 @@ def iso_text(second: Column) -> Column:
     day, rest = F.floor(second / 86400), F.pmod(second, F.lit(86400))
     clock = F.format_string("T%02d:%02d:%02d+00:00", F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))
     return F.when(second.isNotNull(), F.concat(F.date_from_unix_date(day.cast("int")).cast("string"), clock))
+
+
+def local_text(ts: Column, zone: Column) -> Column:
+    """Instant as ISO text with the offset of a zone."""
+    wall = F.from_utc_timestamp(F.to_utc_timestamp(ts, F.current_timezone()), zone)
+    minutes = ((F.unix_seconds(F.to_timestamp_ntz(F.date_format(wall, "yyyy-MM-dd HH:mm:ss")).cast("timestamp")) - F.unix_seconds(ts)) / 60).cast("int")
+    sign = F.when(minutes < 0, "-").otherwise("+")
+    offset = F.concat(sign, F.format_string("%02d:%02d", F.floor(F.abs(minutes) / 60), F.pmod(F.abs(minutes), F.lit(60))))
+    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), offset)
+
+
+def local_day(ts: Column, zone: Column) -> Column:
+    """Calendar day of an instant in a zone."""
+    return F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(ts, F.current_timezone()), zone))

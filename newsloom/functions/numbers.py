@@ -11,6 +11,12 @@ def normalize_priority(priority: Column, default: int = 3) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(10), F.coalesce(priority.try_cast("int"), F.lit(default))))
 
 
+def flagged_priority(priority: Column, default: int = 3) -> Column:
+    """Priority of a catalogue that also marks sources by true and false: true is 8, false the default. priority: text or boolean."""
+    t = F.lower(F.trim(priority.cast("string")))
+    return F.when(t == "true", 8).when(t == "false", default).otherwise(normalize_priority(t, default))
+
+
 def human_number(text: Column) -> Column:
     """Count written for people: "1,234", "1.2万", "3亿", "5w"; null without digits. Fractions are cut off."""
     plain = F.replace(F.trim(text), F.lit(","), F.lit(""))

@@ -22,7 +22,7 @@ from newsloom.operators import ranking as R
 from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
 from newsloom.params import DEFAULTS
-from newsloom.plans import services, sql
+from newsloom.plans import operations, services, sql
 from newsloom.plans.pipeline import scored_stories, top_stories
 from newsloom.session import written
 from newsloom.sources.tables import ARTICLE, articles, read, traces
@@ -267,7 +267,7 @@ def pipeline_status(spark, sf):
 
 def health_history(spark, sf):
     runs = diagnostics.step_runs(traces(spark, sf)).withColumn("observed", F.col("run_date").cast("timestamp"))
-    return diagnostics.health_history(runs, F.lit("2024-01-31 00:00:00").cast("timestamp"))
+    return diagnostics.health_history(runs, F.lit("2024-01-31 00:00:00").cast("timestamp")).drop("latest_error")
 
 
 def overlay_merge(spark, sf):
@@ -349,7 +349,7 @@ _ALL = (final_score, canonical_pick, cluster_topic, topic_order, round_robin_top
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in _CORE} | services.queries() | {f"all_{f.__name__}": partial(f, whole=True) for f in _ALL} | {
+    return {f.__name__: f for f in _CORE} | services.queries() | operations.queries() | {f"all_{f.__name__}": partial(f, whole=True) for f in _ALL} | {
         "top_stories": top_stories,
         "p3_found": timestamps.p3_found,
         "p3_how": timestamps.p3_how,
@@ -358,4 +358,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.oracle_sql() | services.oracle_sql()
+    return sql.oracle_sql() | services.oracle_sql() | operations.oracle_sql()

@@ -148,6 +148,12 @@ RUNS = f"""{TRACES}, runs AS (SELECT step_key, run_date, count(*) AS calls_total
   round_even(least(sum(active_s), sum(total_s)), 3) AS elapsed_s FROM tr GROUP BY 1, 2)"""
 
 
+HISTORY = f"""{RUNS}, d AS (SELECT *, CASE WHEN status = 'error' THEN 'error' WHEN calls_failed > 0 THEN 'warn' ELSE 'ok' END AS state FROM runs WHERE run_date > DATE '2024-01-24'),
+  g AS (SELECT step_key, count(*) AS checks, count(*) FILTER (state = 'ok') AS ok, count(*) FILTER (state = 'warn') AS warn, count(*) FILTER (state = 'error') AS error,
+    round_even(median(elapsed_s), 3) AS median_elapsed_s, max(epoch(run_date::TIMESTAMP)::BIGINT) FILTER (state <> 'ok') AS latest_issue FROM d GROUP BY 1),
+  hist AS (SELECT *, round_even((warn + error) / checks::DOUBLE, 4) AS degraded_rate, checks >= 2 AND round_even((warn + error) / checks::DOUBLE, 4) > 0.5 AS unhealthy FROM g)"""
+
+
 def release_summary(t: str) -> str:
     x = f"coalesce({t}, '')"
     for pattern, kept in ((r"\[([^\]]+)\]\([^)]+\)", r"\1"), (r"\*+([^*]+)\*+", r"\1"), (f"(?m)^#+{WS[:-1]}*", ""), ("```[^`]*```", ""), ("`([^`]+)`", r"\1")):
@@ -256,10 +262,7 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_status": f"""WITH {RUNS} SELECT run_date, count(*) AS steps, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'partial') AS partial, count(*) FILTER (status = 'skipped') AS skipped,
           count(*) FILTER (status = 'error') AS error, count(*) FILTER (status <> 'ok') AS non_ok,
           CASE WHEN count(*) = count(*) FILTER (status = 'ok') THEN 'ok' WHEN count(*) FILTER (status <> 'error') > 0 THEN 'partial' ELSE 'error' END AS status FROM runs GROUP BY 1""",
-        "health_history": f"""WITH {RUNS}, d AS (SELECT *, CASE WHEN status = 'error' THEN 'error' WHEN calls_failed > 0 THEN 'warn' ELSE 'ok' END AS state FROM runs WHERE run_date > DATE '2024-01-24'),
-          g AS (SELECT step_key, count(*) AS checks, count(*) FILTER (state = 'ok') AS ok, count(*) FILTER (state = 'warn') AS warn, count(*) FILTER (state = 'error') AS error,
-            round_even(median(elapsed_s), 3) AS median_elapsed_s, max(epoch(run_date::TIMESTAMP)::BIGINT) FILTER (state <> 'ok') AS latest_issue FROM d GROUP BY 1)
-          SELECT *, round_even((warn + error) / checks::DOUBLE, 4) AS degraded_rate, checks >= 2 AND round_even((warn + error) / checks::DOUBLE, 4) > 0.5 AS unhealthy FROM g""",
+        "health_history": f"WITH {HISTORY} SELECT * FROM hist",
         "overlay_merge": """WITH b AS (SELECT source_id, source_name, topic, priority FROM feed_sources),
           o AS (SELECT source_id, source_name, NULL AS topic, 5 AS priority FROM reddit_subreddits UNION ALL SELECT source_id, NULL, 'pinned', NULL FROM feed_sources WHERE priority >= 8)
           SELECT coalesce(b.source_id, o.source_id) AS source_id, coalesce(o.source_name, b.source_name) AS source_name, coalesce(o.topic, b.topic) AS topic, coalesce(o.priority, b.priority)::BIGINT AS priority

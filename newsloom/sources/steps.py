@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +77,97 @@ def expired(run_dates: Column, today: Column, keep_days: int = 30) -> Column:
     return F.datediff(today, run_dates) > keep_days
 
 
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (a folder of days, or of one day's files); [] if there is none."""
+    fs, p = _folder(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def drop_expired(spark: SparkSession, root: str, today: str, keep_days: int = 30) -> list[str]:
+    """Delete the day partitions that are older than keep_days; their days. Other folders stay."""
+    gone = []
+    for name in _names(spark, root):
+        day = re.fullmatch(r"(?:run_date=)?(\d{4}-\d{2}-\d{2})", name)
+        if day and (date.fromisoformat(today) - date.fromisoformat(day[1])).days > keep_days:
+            fs, p = _folder(spark, f"{root}/{name}")
+            fs.delete(p, True)
+            gone.append(day[1])
+    return gone
+
+
+def next_pair(spark: SparkSession, json_dir: str, markdown_dir: str, stem: str = "daily") -> tuple[str, str]:
+    """First of stem, stem1, stem2 ... that neither folder holds, as a JSON and a Markdown path."""
+    taken = {n.removesuffix(".json") for n in _names(spark, json_dir)} | {n.removesuffix(".md") for n in _names(spark, markdown_dir)}
+    name = next(n for k in count() if (n := f"{stem}{k or ''}") not in taken)
+    return f"{json_dir}/{name}.json", f"{markdown_dir}/{name}.md"
+
+
+def next_meta(spark: SparkSession, meta_dir: str, step_key: str) -> str:
+    """First free name of a step's meta file: step.meta.json, step1.meta.json ..."""
+    taken = set(_names(spark, meta_dir))
+    return next(f"{meta_dir}/{n}" for k in count() if (n := f"{step_key}{k or ''}.meta.json") not in taken)
+
+
+def run_suffix(path: str, stem: str = "daily") -> str:
+    """What follows the stem in an archived output's name."""
+    name = path.rpartition("/")[2].partition(".")[0]
+    return name[len(stem) :] if name.startswith(stem) else ""
+
+
+def meta_path(output: str) -> str:
+    """The meta file beside an output."""
+    return re.sub(r"(\.[^./]*)?$", ".meta.json", output, count=1)
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> str:
+    """One small file (a document, a report), UTF-8, its folder made."""
+    fs, p = _folder(spark, path)
+    fs.mkdirs(p.getParent())
+    out = fs.create(p, True)
+    out.write(bytearray(content.encode()))
+    out.close()
+    return path
+
+
+def write_run(spark: SparkSession, root: str, run_date: str, document: DataFrame, markdown: DataFrame, stem: str = "daily") -> tuple[str, str]:
+    """A run's JSON document (one row, value) and its Markdown (line_no, line) under the next free name of the day."""
+    pair = next_pair(spark, f"{root}/{run_date}/json", f"{root}/{run_date}/markdown", stem)
+    write_text(spark, pair[0], document.first()["value"])
+    lines = [r["line"] for r in markdown.orderBy("line_no").collect()]  # top-N lines a topic
+    write_text(spark, pair[1], "\n".join(lines).rstrip() + "\n")
+    return pair
+
+
+def meta_files(spark: SparkSession, root: str, today: str | None = None, days: int = 7) -> list[str]:
+    """Meta files of a folder, the pipeline's first, then those of its day folders of the last days; each path once."""
+    def inside(folder: str) -> list[str]:
+        found = [n for n in _names(spark, folder) if re.fullmatch(r"[a-z][a-z_-]*?\d*\.meta\.json", n)]
+        return [f"{folder}/{n}" for n in sorted(found, key=lambda n: (not n.startswith("pipeline"), n))]
+
+    out = inside(root)
+    for day in _names(spark, root) if today else []:
+        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) and (date.fromisoformat(today) - date.fromisoformat(day)).days <= days:
+            out += inside(f"{root}/{day}/meta")
+    return list(dict.fromkeys(out))
+
+
+META = "step_key string, name string, status string, items bigint, calls_total bigint, calls_ok bigint, failed_calls bigint, timing_s struct<active:double,total:double>"
+
+
+def read_metas(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, file_name, run_date and the meta fields of step meta files; files that can't be parsed give no row."""
+    files = spark.read.text(paths, wholetext=True).withColumn("path", F.input_file_name()) if paths else spark.createDataFrame([], "value string, path string")
+    m = files.select("path", F.substring_index("path", "/", -1).alias("file_name"), F.to_date(F.nullif(F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})/", 1), F.lit(""))).alias("run_date"), F.from_json("value", META).alias("m"))
+    return m.where("m.step_key IS NOT NULL OR m.status IS NOT NULL").select("path", "file_name", "run_date", "m.*")
+
+
+def failed_calls(metas: DataFrame, suffix: str = "") -> DataFrame:
+    """step_key, failed of the source steps whose meta file has this run suffix."""
+    source = ~F.col("step_key").startswith("merge-") & (F.col("step_key") != "pipeline")
+    rows = metas.where(source & (F.col("file_name") == F.concat(F.col("step_key"), F.lit(f"{suffix}.meta.json"))))
+    return rows.select("step_key", F.coalesce("failed_calls", F.lit(0)).alias("failed"))
