@@ -24,6 +24,7 @@ def queries() -> dict:
         "p8_shares": mixing.p8_shares,
         "p9_found": spans.p9_found,
         "p9_spans": spans.p9_spans,
+        "p9_classes": spans.p9_classes,
         "p9_coverage": spans.p9_coverage,
     }
 

@@ -10,7 +10,9 @@ Burrows-Wheeler transform as a wavelet matrix of packed bit vectors with rank co
 by backward search: a window is read from its end leftwards while another document's suffix stays in the interval; where
 none stays at some offset, no window over that stretch can match, and the search goes on with the first window after it.
 From a passage's first matching window on, the intervals of its windows follow by suffix links (a window's own rank and
-the stretch of ranks that agree in SPAN code points). Documents in one interval share the window.
+the stretch of ranks that agree in SPAN code points): a backward search for each window anew would read every code point
+SPAN times. Documents in one interval share the window. Beside the wavelet matrix a shard keeps its suffix order in arrays
+of 32 bits a code point; they live as long as the shard is searched and are never written.
 
 Defined results: null texts and texts under SPAN code points share nothing; nothing is normalised; equal texts share all
 and are folded to one before the search, their pairs come back by a join; repeats inside one document alone don't count;
@@ -30,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.graph import connected_components
 from newsloom.session import written
 
 SPAN, GRAM = 200, 100
@@ -351,15 +354,20 @@ def over_shards(rows: DataFrame, use, schema: str, span: int = SPAN, shard: int
     return rows.repartition("block").sortWithinPartitions("block").mapInPandas(work, schema)
 
 
-def shared_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc_a < doc_b of all documents (doc_id, text) with a common span of at least span code points."""
-    copies, heads = distinct_texts(docs, span)
+def _head_pairs(heads: DataFrame, span: int, gram: int) -> DataFrame:
+    """doc_a < doc_b of different texts with a common span."""
 
     def pairs(index: FMIndex, batch: pd.DataFrame) -> pd.DataFrame:
         side, block = batch["side"].to_numpy(np.int64), batch["block"].to_numpy(np.int64)
         return _pairs(index, side, np.where(side == 0, 0, block))
 
-    found = over_shards(passages(heads, span, gram), pairs, "doc_a bigint, doc_b bigint", span).distinct()
+    return over_shards(passages(heads, span, gram), pairs, "doc_a bigint, doc_b bigint", span).distinct()
+
+
+def shared_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc_a < doc_b of all documents (doc_id, text) with a common span of at least span code points."""
+    copies, heads = distinct_texts(docs, span)
+    found = _head_pairs(heads, span, gram)
     # copies come back: each head stands for its whole class
     own = copies.select("head").distinct().select("head", F.col("head").alias("doc_id")).unionByName(copies.select("head", "doc_id"))
     within = own.alias("a").join(own.alias("b"), (F.col("a.head") == F.col("b.head")) & (F.col("a.doc_id") < F.col("b.doc_id")))
@@ -369,6 +377,23 @@ def shared_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFra
     return within.unionByName(across.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b")))
 
 
+def shared_classes(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class), links (documents it shares a span with) of all that share one.
+
+    Different texts are linked and copies counted, so no pairs of copies are made.
+    """
+    copies, heads = distinct_texts(docs, span)
+    found = written(_head_pairs(heads, span, gram), "span-links")
+    held = copies.groupBy("head").agg(F.count("*").alias("more"))
+    both = found.select(F.col("doc_a").alias("doc"), F.col("doc_b").alias("other")).unionByName(found.select(F.col("doc_b").alias("doc"), F.col("doc_a").alias("other")))
+    others = both.join(held, both["other"] == held["head"], "left").groupBy("doc").agg(F.sum(1 + F.coalesce("more", F.lit(0))).alias("others"))
+    classes = connected_components(found, "doc_a", "doc_b")
+    linked = others.join(classes, F.col("doc") == F.col("vertex"), "full_outer").select(F.coalesce("doc", "vertex").alias("doc"), "others", "component")
+    rows = linked.join(held, linked["doc"] == held["head"], "full_outer")
+    rows = rows.select(F.coalesce("doc", "head").alias("head"), F.coalesce("component", "doc", "head").alias("class_id"), (F.coalesce("others", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("links"))
+    return rows.select(F.col("head").alias("doc_id"), "class_id", "links").unionByName(copies.join(rows, "head").select("doc_id", "class_id", "links"))
+
+
 def shared_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """doc_id, lo, hi: maximal stretches of code points that lie in windows shared with other documents.
 
@@ -398,6 +423,11 @@ def p9_found(spark, sf: str) -> DataFrame:
     return shared_pairs(_documents(spark, sf))
 
 
+def p9_classes(spark, sf: str) -> DataFrame:
+    """Each document that shares a span: its class and its number of links."""
+    return shared_classes(_documents(spark, sf))
+
+
 def p9_spans(spark, sf: str) -> DataFrame:
     """doc_id, lo, hi of every shared stretch."""
     return shared_spans(_documents(spark, sf))

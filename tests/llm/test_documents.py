@@ -176,6 +176,18 @@ def test_shared_spans_are_exact(spark):
         found[r["doc_id"]] += r["hi"] - r["lo"]
     assert all(found[i] == n for i, n in cover.items())
     assert spans.shared_pairs(df.limit(0)).count() == 0
+    near = collections.defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b), near[b].add(a)
+    want = {}
+    for i in sorted(near):
+        todo = [i]
+        while todo:
+            if (k := todo.pop()) not in want:
+                want[k] = i
+                todo += near[k]
+    rows = spans.shared_classes(df).collect()
+    assert len(rows) == len(near) and {r["doc_id"]: (r["class_id"], r["links"]) for r in rows} == {i: (c, len(near[i])) for i, c in want.items()}
 
 
 def test_cells_of_a_hot_anchor(spark):
