@@ -123,7 +123,7 @@ def similar_in_blocks(batch: pd.DataFrame, t: float) -> tuple[np.ndarray, np.nda
 
 def similar_sets(sets: DataFrame, threshold: float, counts: DataFrame, cell_sets: int = W.CELL_SETS) -> DataFrame:
     """set_a, set_b, similarity of all pairs of distinct word sets that reach the threshold; sets: set_key, words; counts: word, n."""
-    blocks = W.in_cells(W.prefix_blocks(sets, W.word_order(counts), threshold), counts, cell_sets)
+    blocks = W.in_cells(W.prefix_blocks(sets, W.word_order(counts), threshold, closed=True), counts, cell_sets)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -29,7 +29,6 @@ from newsloom.session import written
 SKETCH_BITS = 22
 #: A prefix word of more sets than this is split into a grid of cells.
 CELL_SETS = 20_000
-RARE = 8
 #: Words that a task counts at once.
 COUNTED = 4_000_000
 _HAN = re.compile("([⺀-⿟々-〇㐀-䶿一-鿿豈-﫿\U00020000-\U0003fffd])")
@@ -160,15 +159,19 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def word_order(counts: DataFrame, bits: int = SKETCH_BITS) -> Order:
-    """The sketch of word counts: at most 2**bits cells come to the driver, a class of a quarter octave each.
+    """The sketch of word counts, a class of a quarter octave a cell: 2**bits bytes come to the driver whatever the corpus."""
+    side = min(bits, 16)
+    cell = F.col("word").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    kinds = counts.groupBy(cell.alias("cell")).agg(F.least(F.ceil(4 * F.log2(F.sum("n"))), F.lit(255)).cast("int").alias("kind")).where("kind > 0")
+
+    def packed(part: pd.DataFrame) -> pd.DataFrame:
+        body = np.zeros(1 << side, np.uint8)
+        body[part["cell"].to_numpy() & ((1 << side) - 1)] = part["kind"].to_numpy()
+        return pd.DataFrame({"part": part["part"].iloc[:1], "body": [body.tobytes()]})
 
-    Cells of fewer than RARE counts are one class: their blocks are small however they are ordered.
-    """
-    cell = F.col("word").bitwiseAND(F.lit((1 << bits) - 1))
-    kind = F.ceil(4 * F.log2(F.sum("n"))).cast("int")
-    found = counts.groupBy(cell.cast("int").alias("cell")).agg(kind.alias("kind")).where(F.col("kind") >= 4 * np.log2(RARE)).toPandas()
     cells = np.zeros(1 << bits, np.uint8)
-    cells[found["cell"].to_numpy(np.int64)] = np.minimum(found["kind"].to_numpy(np.int64), 255)
+    for r in kinds.withColumn("part", F.shiftright("cell", side)).groupBy("part").applyInPandas(packed, "part int, body binary").collect():  # 2**(bits - side) rows
+        cells[r["part"] << side : (r["part"] + 1) << side] = np.frombuffer(r["body"], np.uint8)
     return Order(cells)
 
 
@@ -200,10 +203,11 @@ def prefix_length(threshold: float, sizes: np.ndarray) -> np.ndarray:
     return sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
 
 
-def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str = "") -> DataFrame:
+def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str = "", closed: bool = False) -> DataFrame:
     """One row per set and prefix word: block (the word), tree (its position in the order), size, words in order.
 
-    extra names a column that is carried along.
+    extra names a column that is carried along. closed: no other sets than those counted in order will be met, so a word that
+    was counted once (its cell is 0, which no collision makes smaller) makes no block, as no other set has it.
     """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,7 +218,8 @@ def prefix_blocks(sets: DataFrame, order: Order, threshold: float, extra: str =
             ends = np.cumsum(sizes)
             data = words.tobytes()
             sorted_words = np.array([data[8 * (e - s) : 8 * e] for s, e in zip(sizes.tolist(), ends.tolist())] + [b""], dtype=object)[:-1]
-            keep = np.flatnonzero(pos < prefix_length(threshold, sizes)[row])
+            met = pos < prefix_length(threshold, sizes)[row]
+            keep = np.flatnonzero(met & (order.rank(words) > 0) if closed else met)
             r = row[keep]
             out = {"block": words[keep], "tree": pos[keep].astype(np.int32), "size": sizes[r].astype(np.int32), "words": sorted_words[r]}
             if extra:
