@@ -49,6 +49,19 @@ def without_noise(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return with_noise(df, params).where(~F.col("is_noise")).drop(*NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
+def noise_samples(noisy: DataFrame, n: int = 5) -> DataFrame:
+    """The first n removed articles: title (at most 160 characters), link and the signals that speak against each. noisy: with_noise."""
+    link = X.first_filled(F.col("link"), F.col("external_url"), F.col("reddit_url"))
+    signals = F.map_from_arrays(F.array(*[F.lit(k) for k in NOISE_WEIGHTS]), F.array(*[F.when(F.col(k), w).otherwise(0.0) for k, w in NOISE_WEIGHTS.items()]))
+    hit = F.map_filter(signals, lambda k, w: w > 0)
+    return noisy.where("is_noise").orderBy("article_ix").limit(n).select("article_ix", F.substring(X.collapse(F.col("title")), 1, 160).alias("title"), link.alias("link"), hit.alias("signals"))
+
+
+def without_internal(df: DataFrame) -> DataFrame:
+    """Columns but those that begin with an underscore, which are working state."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")])
+
+
 def with_features(df: DataFrame, compatibility: bool = True) -> DataFrame:
     """Adds norm_title, compact_title, word_tokens, cjk_bigrams, compact_bigrams, all_tokens (their union), norm_url, domain."""
     d = df.withColumn("norm_title", X.normalize_title(F.col("title"), compatibility))

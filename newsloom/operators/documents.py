@@ -5,12 +5,15 @@ Documents hold selected articles only (top-N of each topic), so folding them int
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
 from newsloom.operators import ranking as R
 from newsloom.operators.articles import display_title, primary_link
+from newsloom.params import DEFAULTS, Params
 
 # Score components by the name they have in documents, and the fields of a merged article.
 COMPONENTS = {
@@ -82,16 +85,57 @@ def topic_rows(selected: DataFrame, topics: DataFrame) -> DataFrame:
     made = selected.select("primary_topic", F.struct(F.col("rank"), item_json(selected).alias("json")).alias("item"))
     items = made.groupBy("primary_topic").agg(F.array_sort(F.collect_list("item")).alias("i"))
     rows = topics.join(items, "primary_topic", "left")
-    return rows.select("topic_rank", F.col("primary_topic").alias("id"), F.col("topic_title").alias("title"), "available", F.coalesce(F.transform("i", lambda x: x["json"]), F.array().cast("array<string>")).alias("items"))
+    left = F.col("remaining") if "remaining" in topics.columns else F.col("available")
+    return rows.select("topic_rank", F.col("primary_topic").alias("id"), F.col("topic_title").alias("title"), "available", left.alias("remaining"), F.coalesce(F.transform("i", lambda x: x["json"]), F.array().cast("array<string>")).alias("items"))
+
+
+def scoring_config(params: Params = DEFAULTS) -> dict:
+    """The settings that made the scores, as they are shown beside them."""
+    return {
+        "fetch_rank_max_score": params.rank_score, "history_threshold": min(t for t, _ in params.history_tiers), "history_score_rules": [{"threshold": t, "score": v} for t, v in params.history_tiers],
+        "cross_source_hot_threshold": params.hot_threshold, "duplicate_threshold": params.duplicate_threshold, "cross_source_hot_score_per_extra_type": params.hot_step, "cross_source_hot_score_cap": params.hot_cap,
+        "recency_24h_score": 1.0, "recency_6h_score": 1.5,
+    }
+
+
+def processing_summary(input_total: int, archived_titles: int, archived_links: int, params: Params = DEFAULTS) -> dict:
+    """What was done to the input of a merge."""
+    return {
+        "deduplication_applied": True, "noise_filter_applied": True, "previous_hotspots_scoring_applied": archived_titles > 0, "previous_hotspots_exact_link_index_applied": archived_links > 0, "scoring_applied": True,
+        "scoring_version": "2.0", "score_formula": FORMULA, "scoring_config": scoring_config(params), "input_total_articles": input_total,
+    }
+
+
+def merged_head(canon: DataFrame, inputs: DataFrame, generated_at: str, archived: tuple[int, int] = (0, 0), params: Params = DEFAULTS) -> str:
+    """JSON of a merge but its articles (those are merged_articles): input and output by source type, and the processing. inputs: ranking.distribution."""
+    counted = lambda d, c: {r["source_type"]: r[c] for r in d.collect()}  # noqa: E731  # a row a source type
+    had, out = counted(inputs, "n"), counted(canon.groupBy("source_type").count(), "count")
+    total = sum(had.values())
+    return json.dumps({
+        "generated": generated_at, "input_stats": {"total_articles": total, "source_type_distribution": had},
+        "output_stats": {"total_articles": sum(out.values()), "source_types_count": len(out), "source_type_distribution": out}, "processing": processing_summary(total, *archived, params),
+    }, ensure_ascii=False)
+
+
+def similarity_debug(df: DataFrame) -> Column:
+    """Why an article stands where it does among similar ones: history, merged cluster, other source types that tell its story."""
+    have = set(df.columns)
+    value = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in have else F.lit(default)
+    group = F.struct((value("cluster_size", 1) > 1).alias("merged"), value("cluster_size", 1).cast("bigint").alias("cluster_size"))
+    hot = F.struct((value("hot_score", 0.0) / DEFAULTS.hot_step).cast("int").alias("matched_source_type_count"), value("hot_score", 0.0).alias("score"))
+    return F.struct(value("history_similarity", 0.0).alias("history_similarity"), (value("history_score", 0.0) < 0).alias("history_duplicate"), group.alias("duplicate_group"), hot.alias("cross_source_hot"))
 
 
 def hotspots_document(selected: DataFrame, candidates: DataFrame, topics: DataFrame, generated_at: str) -> DataFrame:
-    """One row, one JSON text: counts by source type, and the topics with their items. candidates: all canonical rows."""
+    """One row, one JSON text: counts by source type, and the topics with their items.
+
+    candidates: all canonical rows; topics: see topic_rows, with remaining where something of today was seen before.
+    """
     counted = lambda d: {r["source_type"]: r["count"] for r in d.where("source_type <> ''").groupBy("source_type").count().collect()}  # noqa: E731  # a row a source type
     picked, had = counted(selected), counted(candidates)
     as_map = lambda c: F.create_map(*[x for k, v in sorted(c.items()) for x in (F.lit(k), F.lit(v))]) if c else F.create_map().cast("map<string,bigint>")
     t = topic_rows(selected, topics)
-    one = joined_objects(F.to_json(F.struct("id", "title", F.col("available").alias("available_article_count"), F.col("available").alias("remaining_article_count"))), F.concat(F.lit('{"items":['), F.array_join("items", ","), F.lit("]}")))
+    one = joined_objects(F.to_json(F.struct("id", "title", F.col("available").alias("available_article_count"), F.col("remaining").alias("remaining_article_count"))), F.concat(F.lit('{"items":['), F.array_join("items", ","), F.lit("]}")))
     whole = t.select("topic_rank", one.alias("json")).agg(F.array_sort(F.collect_list(F.struct("topic_rank", "json"))).alias("t"))
     head = F.to_json(F.struct(F.lit(generated_at).alias("generated_at"), F.lit(sum(picked.values())).alias("total_articles"), as_map(picked).alias("source_type_counts"), F.lit(sum(had.values())).alias("candidate_total_articles"), as_map(had).alias("candidate_source_type_counts")))
     return whole.select(joined_objects(head, F.concat(F.lit('{"topics":['), F.array_join(F.transform("t", lambda x: x["json"]), ","), F.lit("]}"))).alias("value"))

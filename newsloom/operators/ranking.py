@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates
 from newsloom.functions import text as X
 from newsloom.functions.numbers import rounded
-from newsloom.operators.articles import engagement
+from newsloom.operators.articles import engagement, not_seen_today
 from newsloom.params import DEFAULTS, REGISTRY, Params
 from newsloom.session import written
 
@@ -122,6 +122,13 @@ def topic_order(df: DataFrame, order: DataFrame) -> DataFrame:
     return best.select("primary_topic", "available", F.row_number().over(Window.orderBy("b", "primary_topic")).alias("topic_rank"))
 
 
+def topic_counts(canon: DataFrame, seen: DataFrame) -> DataFrame:
+    """primary_topic, available, remaining: canonical rows of each topic, and those that today's outputs (title, link) don't hold."""
+    left = not_seen_today(canon, seen).groupBy("primary_topic").agg(F.count("*").alias("left"))
+    every = canon.groupBy("primary_topic").agg(F.count("*").alias("available"))
+    return every.join(left, "primary_topic", "left").select("primary_topic", "available", F.coalesce("left", F.lit(0)).alias("remaining"))
+
+
 def distribution(df: DataFrame) -> DataFrame:
     """source_type, n for every registered type, zero-filled."""
     spark = df.sparkSession

@@ -129,6 +129,13 @@ def scored_pairs(pairs: DataFrame, features: DataFrame, least: float = 0.0, para
     return exact.unionByName(rest).where(F.col("similarity") >= least)
 
 
+def explained_pairs(pairs: DataFrame, features: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """i, j and every part of their similarity: exact hint, fuzzy ratios, overlap, URL hint, common tokens, and the whole."""
+    both = _fuzzy(measured(with_both(pairs, features)), params)
+    whole = F.coalesce("hint", weighted(F.col("jac"), F.col("url"), F.col("fuzzy"), F.col("words")))
+    return both.select("i", "j", "hint", "fuzzy.token_set", "fuzzy.partial", "fuzzy.direct", "jac", "url", "words", "cjk", "grams", whole.alias("similarity"))
+
+
 def history_candidates(features: DataFrame, history: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """article_ix, h_ix, weight: archived titles that share words (3 each), CJK bigrams (2) or bigrams (1).
 

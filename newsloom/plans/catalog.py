@@ -49,13 +49,17 @@ def noise_signals(spark, sf):
     return A.with_noise(articles(spark, sf)).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
-def noise_stressed(spark, sf):
-    """The noise rules on articles that are made promotional: a price before the title's beginning, a link and counts behind the summary."""
+def _promoted(spark, sf):
+    """Articles made promotional: a price before the title's beginning, a link and counts behind the summary."""
     n = F.col("article_ix") % 4
     title = F.when(n == 0, F.col("title")).otherwise(F.concat(F.lit("5折 "), F.substring("title", 1, 20)))
     summary = F.when(n <= 1, F.col("summary")).otherwise(F.concat(X.text(F.col("summary")), F.lit(" https://shop.example/x 12 comments"), F.when(n == 3, " 7 posts").otherwise("")))
-    d = A.with_noise(articles(spark, sf).withColumns({"title": title, "summary": summary}))
-    return d.select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
+    return A.with_noise(articles(spark, sf).withColumns({"title": title, "summary": summary}))
+
+
+def noise_stressed(spark, sf):
+    """The noise rules where they bite."""
+    return _promoted(spark, sf).select("article_ix", *A.NOISE_WEIGHTS, "noise_score", "is_noise")
 
 
 def noise_removed(spark, sf):
@@ -191,6 +195,23 @@ def markdown_lines(spark, sf, whole=False):
     return R.markdown_lines(R.top_per_topic(R.canonical(_scored(spark, sf, whole)))).select("topic", F.col("rank").cast("bigint").alias("rank"), "line")
 
 
+def noise_samples(spark, sf):
+    return A.noise_samples(_promoted(spark, sf)).select("article_ix", "title", "link", F.array_join(F.map_keys("signals"), " ").alias("signals"))
+
+
+def topic_counts(spark, sf):
+    """What each topic still has once the articles of a later feed batch were shown."""
+    canon = R.canonical(_scored(spark, sf, False))
+    seen = articles(spark, sf, ("rss",)).where("batch_no = 1").select("title", "link")
+    return R.topic_counts(canon, seen)
+
+
+def explained_pairs(spark, sf):
+    """Pairs of equal URL or title with the parts of their similarity."""
+    f = _features(spark, sf)
+    return S.explained_pairs(S.exact_pairs(f).distinct(), f)
+
+
 def _exact_matches(spark, sf):
     arts = written(A.with_features(articles(spark, sf)), "features")
     pairs = S.exact_pairs(arts).distinct().withColumn("similarity", F.lit(1.0))
@@ -340,7 +361,7 @@ def top_engaged(spark, sf):
 _CORE = (
     union_registry, norm_title, norm_url, noise_signals, noise_stressed, noise_removed, word_tokens, bigram_sets, history_anti_join, same_day_seen, candidate_pairs,
     pair_jaccard, comparable_pairs, fuzzy_pairs, exact_components, hot_scores, history_penalty, engagement_tiers, recency, fetch_rank, final_score,
-    canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, article_matches, cluster_matches, all_article_matches, merged_output, hotspot_items, markdown_document, distribution, timing_summary, slow_buckets, failed_items,
+    canonical_pick, cluster_topic, grouped_ranking, topic_order, round_robin_topn, markdown_lines, noise_samples, topic_counts, explained_pairs, article_matches, cluster_matches, all_article_matches, merged_output, hotspot_items, markdown_document, distribution, timing_summary, slow_buckets, failed_items,
     step_runs, pipeline_status, health_history, overlay_merge, topic_labels, config_violations, first_wins, html_clean, release_summary, human_numbers,
     stars_per_day, window_cutoff, search_queries, feed_dates, top_engaged,
 )

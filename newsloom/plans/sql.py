@@ -234,6 +234,10 @@ def oracle_sql() -> dict[str, str]:
           SELECT primary_topic, available, row_number() OVER (ORDER BY b, primary_topic) AS topic_rank FROM g""",
         "round_robin_topn": f"WITH RECURSIVE {TOP} SELECT primary_topic AS topic, article_ix, selection_order, rank, turn FROM t3",
         "markdown_lines": f"WITH RECURSIVE {TOP} SELECT primary_topic AS topic, rank, {item_line} AS line FROM t3",
+        "noise_samples": f"""WITH {stressed.replace('z AS (SELECT *,', 'z AS (SELECT s.*, t.title, t.n_link,', 1).replace(' FROM s)', ' FROM s JOIN t USING (article_ix))', 1)}
+          SELECT article_ix, substring({collapse('title')}, 1, 160) AS title, n_link AS link, concat_ws(' ', {", ".join(f"CASE WHEN {x} THEN '{x}' END" for x in signals.split(", "))}) AS signals FROM y WHERE is_noise ORDER BY article_ix LIMIT 5""",
+        "topic_counts": f"""WITH RECURSIVE {CANON}, k AS (SELECT primary_topic, {title_key} AS kt, {link_key} AS kl FROM canon), old AS (SELECT {title_key} AS kt, lower(trim(coalesce(link, ''))) AS l FROM rss_articles WHERE batch_no = 1)
+          SELECT primary_topic, count(*) AS available, count(*) FILTER ((kt = '' OR kt NOT IN (SELECT kt FROM old)) AND (kl = '' OR kl NOT IN (SELECT regexp_replace(l, '/+$', '') FROM old))) AS remaining FROM k GROUP BY 1""",
         "article_matches": f"WITH {MATCHES} SELECT * FROM am",
         "cluster_matches": f"""WITH RECURSIVE {MATCHES}, {COMPONENTS},
           cm AS (SELECT coalesce(component, article_ix) AS component, source_type, title, link, arg_min((source_name, topic, similarity), article_ix) AS m FROM am LEFT JOIN comp ON article_ix = vertex GROUP BY 1, 2, 3, 4)

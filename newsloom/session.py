@@ -49,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only in a local session that doesn't set it (tests) a folder of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "newsloom-shared")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
