@@ -35,6 +35,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import xxhash
@@ -113,14 +114,14 @@ class RangeSearch:
             self.files[run.path, bucket] = out
         return self.files[run.path, bucket]
 
-    def entries(self, run: Run, blocks: np.ndarray) -> Iterator[pd.DataFrame]:
+    def entries(self, run: Run, blocks: np.ndarray) -> Iterator[pa.Table]:
         """The row groups of a run in whose range one of the blocks (sorted, distinct) lies."""
         shift = 63 - run.bits
         for bucket in np.unique(blocks >> shift).tolist():
             for f, g, lo, hi in self.groups(run, bucket):
                 if np.searchsorted(blocks, hi, side="right") > np.searchsorted(blocks, lo):
-                    rows = f.read_row_group(g, columns=ENTRY).to_pandas()
-                    self.read += len(rows)
+                    rows = f.read_row_group(g, columns=ENTRY)
+                    self.read += rows.num_rows
                     yield rows
 
     def least_ids(self, batch: pd.DataFrame) -> np.ndarray:
@@ -133,7 +134,7 @@ class RangeSearch:
         least, most = np.ceil(self.t * size - 1e-9).astype(np.int64), np.floor(size / self.t + 1e-9).astype(np.int64)
         for k, run in enumerate(self.runs):
             for there in self.entries(run, blocks):
-                b, s, p = (there[c].to_numpy(np.int64) for c in ("block", "size", "tree"))
+                b, s, p, ids = (there[c].to_numpy().astype(np.int64) for c in ("block", "size", "tree", "first_id"))
                 head = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
                 at = np.minimum(np.searchsorted(b[head], block), len(head) - 1)
                 mine = np.flatnonzero(b[head][at] == block)
@@ -143,8 +144,14 @@ class RangeSearch:
                 code = np.repeat(np.arange(len(head)), np.diff(np.r_[head, len(b)])) * wide + s
                 lo = np.searchsorted(code, at[mine] * wide + least[mine])
                 hi = np.searchsorted(code, at[mine] * wide + most[mine], side="right")
-                there_maps = W.bitmaps(there["words"])
-                there_words, ids = there["words"].to_numpy(), there["first_id"].to_numpy(np.int64)
+                # only entries in some range are unpacked
+                inside = np.cumsum(np.bincount(lo, minlength=len(b) + 1) - np.bincount(hi, minlength=len(b) + 1))[: len(b)] > 0
+                kept = np.flatnonzero(inside)
+                if not len(kept):
+                    continue
+                there_words = there["words"].take(pa.array(kept)).to_pandas()
+                there_maps, there_words = W.bitmaps(there_words), there_words.to_numpy()
+                place = np.cumsum(inside) - 1
                 ends = np.cumsum(hi - lo)
                 for a in range(0, int(ends[-1]), AT_ONCE):
                     pair = np.arange(a, min(a + AT_ONCE, int(ends[-1])))
@@ -153,9 +160,9 @@ class RangeSearch:
                     i = mine[q]
                     ok = (ids[j] < out[k, i]) & W.position_bound(self.t, size[i], s[j], pos[i], p[j])
                     i, j = i[ok], j[ok]
-                    ok = W.may_share(maps, there_maps, i, j) >= W.need(self.t, size[i] + s[j])
+                    ok = W.may_share(maps, there_maps, i, place[j]) >= W.need(self.t, size[i] + s[j])
                     i, j = i[ok], j[ok]
-                    both, _ = W.overlaps(words, there_words, i, j)
+                    both, _ = W.overlaps(words, there_words, i, place[j])
                     ok = both >= self.t * (size[i] + s[j] - both) - 1e-9
                     np.minimum.at(out[k], i[ok], ids[j[ok]])
         return out
