@@ -5,7 +5,7 @@ windows of different documents have equal anchors. Documents announce their anch
 alone holds needs no further look. A document whose anchor is shared sends the passage of the anchor's windows to the
 anchor's shard. No window can be lost: what two documents share in SPAN code points, their shared windows' anchors carry.
 
-Index. A shard concatenates its passages, sorts their suffixes (by more than SPAN code points, by doubling) and keeps the
+Index. A shard concatenates its passages, sorts their suffixes (by more than SPAN code points, by doubling or tripling) and keeps the
 Burrows-Wheeler transform as a wavelet matrix of packed bit vectors with rank counts. Passages are then streamed over it
 by backward search: a window is read from its end leftwards while another document's suffix stays in the interval; where
 none stays at some offset, no window over that stretch can match, and the search goes on with the first window after it.
@@ -181,7 +181,7 @@ class FMIndex:
             key = (key << width) | np.r_[s[j:], np.zeros(min(j, n), np.int64)][:n]
         agree = None
         while True:
-            self.sa = np.argsort(key, kind="stable").astype(np.int32)
+            self.sa = np.argsort(key).astype(np.int32)  # suffixes that agree in so many symbols may stand in any order
             step = key[self.sa]
             rank = np.empty(n, np.int64)
             rank[self.sa] = np.cumsum(np.r_[0, step[1:] != step[:-1]])
@@ -189,8 +189,12 @@ class FMIndex:
                 agree = (rank, self.span - k)  # equal span symbols: equal k symbols here and k symbols further on
             if k >= self.span:
                 break
-            key = rank * np.int64(n + 1) + np.r_[rank[k:] + 1, np.zeros(min(k, n), np.int64)][:n]
-            k *= 2
+            # three ranks to a key where they fit, two for the step after which equality in span symbols can be read off
+            times, wide = (3, b) if 3 * k <= self.span and 3 * (b := int(n + 1).bit_length()) <= 63 else (2, int(n + 1).bit_length())
+            key = rank
+            for j in range(1, times):
+                key = (key << wide) | np.r_[rank[j * k :] + 1, np.zeros(min(j * k, n), np.int64)][:n]
+            k *= times
         self.rank_of = np.empty(n, np.int32)
         self.rank_of[self.sa] = np.arange(n)
         r, off = agree
