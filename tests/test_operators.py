@@ -134,3 +134,41 @@ def test_catalogues(spark):
     topics = spark.createDataFrame([("ai", "AI / Artificial"), ("bare", "Plain")], "id string, label string")
     rows = spark.createDataFrame([("ai",), ("bare",), ("open-source",)], "topic string")
     assert {r["topic"]: r["topic_title"] for r in config.with_topic_titles(rows, topics).collect()} == {"ai": "Artificial", "bare": "Plain", "open-source": "Open Source"}
+
+
+def test_history_pairs_that_cannot_be_near_never_meet_texts(spark):
+    """One rare word shared by all: 60 x 60 pairs, of which only the 60 that are near leave the task; the scores are as before."""
+    from newsloom.operators import near as N
+
+    draw = random.Random(5)
+    texts = [" ".join(["zyqor"] + ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(8)]) for _ in range(60)]
+    old = S.features_of(frame(spark, [{"title": t} for t in texts]))
+    new = S.features_of(frame(spark, [{"title": t + " s"} for t in texts]))
+    kinds, most = (N.WORD, N.CJK, N.GRAM), dict.fromkeys(range(3), 96)
+    posted = N.postings(N.titles(new, 1).unionByName(N.titles(old, 0)), N.bloom(N.rare_tokens(N.titles(old, 0), kinds, 1, most)), kinds)
+    every, near = (N.pairs(posted, least, most, True).select("i", "j").distinct() for least in (0.0, 0.88))
+    assert every.count() == 3600
+    left = {(r["i"], r["j"]) for r in near.collect()}
+    assert {(k, k) for k in range(60)} <= left and len(left) < 1200
+    got = {r["article_ix"]: r["similarity"] for r in S.history_scores(new, old).collect()}
+    assert set(got) == set(range(60)) and all(0.88 <= x < 1 for x in got.values())
+
+
+def test_cards_lose_no_pair(spark):
+    from newsloom.operators import near as N
+
+    titles = ["Rust compiler gets faster builds", "Rust compiler gets much faster builds", "ab", "a b", "", "国务院 发布 新 规定 2024", "国务院发布新规定2024", "x4ea 4q9o m489 4zjo j7ya ekct br4y", "x4ea 1 4q9o z m489 2 4zjo i j7ya x ekct g br4y", "go go go", "𠮷野家 日本 ok"]
+    f = S.features_of(frame(spark, [{"title": t, "link": f"https://h{i % 2}.example/{i}"} for i, t in enumerate(titles)]))
+    rows = {r["article_ix"]: r for r in f.collect()}
+    names = [rows[i]["norm_title"] for i in range(len(titles))]
+    row, token, cards = N.read_titles(names)
+    for i in rows:
+        of = {k: len({t for r, t in zip(row.tolist(), token.tolist()) if r == i and t & 3 == k}) for k in range(3)}
+        assert [of[0], of[1], of[2]] == [len(rows[i][c]) for c in ("word_tokens", "cjk_bigrams", "compact_bigrams")]
+        assert cards[i]["grams"] + cards[i]["words"] + cards[i]["odd"] == len(rows[i]["all_tokens"])
+        assert cards[i]["length"] == len(names[i]) and cards[i]["compact"] == len(rows[i]["compact_title"])
+    ids = spark.createDataFrame([(i, j) for i in rows for j in rows if i < j], "i bigint, j bigint")
+    for least in (0.82, 0.86, 0.92):
+        reach = S.measured(S.with_both(ids, f)).where(S.can_reach(least)).select("i", "j", "jac").collect()
+        cards["domain"] = [1 + i % 2 for i in range(len(titles))]
+        assert all(N.can_be(cards[[r["i"]]], cards[[r["j"]]], least)[0] for r in reach)
