@@ -172,3 +172,14 @@ def test_cards_lose_no_pair(spark):
         reach = S.measured(S.with_both(ids, f)).where(S.can_reach(least)).select("i", "j", "jac").collect()
         cards["domain"] = [1 + i % 2 for i in range(len(titles))]
         assert all(N.can_be(cards[[r["i"]]], cards[[r["j"]]], least)[0] for r in reach)
+
+
+def test_near_pairs_are_the_scored_candidates(spark):
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdefghijklm") for _ in range(6)) for _ in range(60)] + ["国务院发布新规定", "日本经济增长数据"]
+    titles = [" ".join(draw.choices(words, k=5)) for _ in range(60)]
+    titles += [t + " s" for t in titles[:20]] + titles[20:30] + [titles[30].replace(" ", "")]
+    f = S.features_of(frame(spark, [{"title": t, "link": f"https://h{i % 5}.example/{i % 70}"} for i, t in enumerate(titles)]))
+    want = {(r["i"], r["j"], r["similarity"]) for r in S.scored_pairs(S.candidate_pairs(f), f, 0.86).collect()}
+    got = S.near_pairs(f, 0.86).collect()
+    assert len(want) > 30 and sorted(want) == sorted((r["i"], r["j"], r["similarity"]) for r in got)
