@@ -183,3 +183,28 @@ def test_near_pairs_are_the_scored_candidates(spark):
     want = {(r["i"], r["j"], r["similarity"]) for r in S.scored_pairs(S.candidate_pairs(f), f, 0.86).collect()}
     got = S.near_pairs(f, 0.86).collect()
     assert len(want) > 30 and sorted(want) == sorted((r["i"], r["j"], r["similarity"]) for r in got)
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_exact_pairs_take_one_shuffle_of_hashes(spark):
+    rows = [{"title": t, "link": u} for t, u in (("Big News", "https://a.example/x"), ("big news!", None), ("bignews", "https://b.example"), ("other", "http://a.example/x/"), (None, ""), ("", None))]
+    pairs = S.exact_pairs(S.features_of(frame(spark, rows)))
+    assert _exchanges(pairs) == 1
+    assert sorted((r["i"], r["j"]) for r in pairs.collect()) == [(0, 1), (0, 1), (0, 2), (0, 3)]
+
+
+def test_fresh_articles_are_those_not_in_history(spark):
+    """Keys of titles, of links and of what stands for either; without a shuffle but for what may be archived."""
+    from newsloom.functions import text as X
+    from newsloom.functions import url as U
+    from newsloom.plans.pipeline import fresh_articles
+
+    old = frame(spark, [{"title": "Big News!", "link": "https://www.a.example/x/"}, {"title": "https://c.example/seen", "link": None}, {"title": None, "link": ""}])
+    new = frame(spark, [{"title": "big news"}, {"title": "other", "link": "http://a.example/x?y=1"}, {"title": "new", "link": "https://n.example"}, {"title": "", "link": ""}, {"title": " ", "reddit_url": "https://a.example/x"}, {"title": None, "link": "https://c.example/seen"}, {"title": "", "link": "", "external_url": "https://a.example/x/"}])
+    archive = old.select("article_ix", X.normalize_title(F.col("title")).alias("norm_title"), U.normalize_url(F.col("link")).alias("norm_link"))
+    got = fresh_articles(new, archive)
+    assert _exchanges(got) == 0
+    assert sorted(r["article_ix"] for r in got.collect()) == sorted(r["article_ix"] for r in A.not_in_history(new, old).collect()) == [2, 3]
