@@ -208,3 +208,11 @@ def test_fresh_articles_are_those_not_in_history(spark):
     got = fresh_articles(new, archive)
     assert _exchanges(got) == 0
     assert sorted(r["article_ix"] for r in got.collect()) == sorted(r["article_ix"] for r in A.not_in_history(new, old).collect()) == [2, 3]
+
+
+def test_canonical_rows_are_not_joined_back(spark):
+    rows = [(i, i // 3, None if i == 4 else "rss" if i % 2 else "reddit", f"t{i % 2}", 1.0, float(i % 3 == 1), "x") for i in range(8)]
+    d = spark.createDataFrame(rows, "article_ix bigint, component bigint, source_type string, title string, final_score double, extra_score double, topic string")
+    c = R.canonical(d)
+    assert {(r["article_ix"], r["cluster_size"], r["multi_source"], r["first_ix"]) for r in c.collect()} == {(1, 3, True, 0), (4, 3, False, 3), (7, 2, True, 6)}
+    assert "SortMergeJoin [article_ix" not in c._jdf.queryExecution().sparkPlan().toString() and c._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
