@@ -200,9 +200,12 @@ class FMIndex:
         r, off = agree
         here, there = r[self.sa], r[np.minimum(self.sa + off, n - 1)]
         self.stretch = np.cumsum(np.r_[0, (here[1:] != here[:-1]) | (there[1:] != there[:-1])]).astype(np.int32)  # of each rank
+        # a search begins with the interval of the grams that the sort has told apart anyway: place -> gram -> first rank
+        self.skip, self.gram = off, r.astype(np.int32)
+        self.gram_from = np.r_[0, np.flatnonzero(here[1:] != here[:-1]) + 1, n]
 
     def first_matches(self, chunk: int = 20_000) -> np.ndarray:
-        """Per passage the first window that another document holds, -1 if none: backward search with skips."""
+        """Per passage the first window that another document holds, -1 if none: backward search with skips, from a gram at the window's end."""
         out = np.full(len(self.base), -1, np.int64)
         for lo in range(0, len(self.base), chunk):
             self._search(np.arange(lo, min(lo + chunk, len(self.base))), out)
@@ -211,15 +214,19 @@ class FMIndex:
     def _search(self, q: np.ndarray, out: np.ndarray) -> None:
         n = len(self.symbols)
         start = np.zeros(len(q), np.int64)
-        offset = np.full(len(q), self.span - 1, np.int64)
+        offset = np.full(len(q), self.skip, np.int64)
         lo, hi = np.zeros(len(q), np.int64), np.full(len(q), n, np.int64)
         last = self.length[q] - self.span
         fit = last >= 0
         q, start, offset, lo, hi, last = (x[fit] for x in (q, start, offset, lo, hi, last))
         while len(q):
-            c = self.symbols[self.base[q] + start + offset]
-            both = self.bwt.ranks(np.r_[c, c], np.r_[lo, hi]).reshape(2, -1) + self.before[c]
-            lo, hi = both
+            place = self.base[q] + start + offset
+            new = offset == self.skip
+            begun, on = np.flatnonzero(new), np.flatnonzero(~new)
+            g = self.gram[place[begun]]
+            lo[begun], hi[begun] = self.gram_from[g], self.gram_from[g + 1]
+            c = self.symbols[place[on]]
+            lo[on], hi[on] = self.bwt.ranks(np.r_[c, c], np.r_[lo[on], hi[on]]).reshape(2, -1) + self.before[c]
             own = self.code[q]
             at = np.minimum(lo, n - 1)
             other = (lo < hi) & ((self.doc[at] != own) | (self.next_other[at] < hi))
@@ -227,7 +234,7 @@ class FMIndex:
             out[q[done]] = start[done]
             start = np.where(other, start, start + offset + 1)
             lo, hi = np.where(other, lo, 0), np.where(other, hi, n)
-            offset = np.where(other, offset - 1, self.span - 1)
+            offset = np.where(other, offset - 1, self.skip)
             go = ~done & (start <= last)
             if not go.all():
                 q, start, offset, lo, hi, last = (x[go] for x in (q, start, offset, lo, hi, last))

@@ -210,3 +210,14 @@ def test_wavelet_matrix_ranks():
     w = spans.WaveletMatrix(s, 23)
     q, i = rnd.integers(0, 23, 300), rnd.integers(0, 501, 300)
     assert w.ranks(q, i).tolist() == [int((s[:k] == c).sum()) for c, k in zip(q, i)]
+
+
+def test_span_search_begins_with_a_gram():
+    """The grams that the sort tells apart need no steps of their own: at most half a window is searched symbol by symbol."""
+    draw = random.Random(3)
+    text = "".join(draw.choice("abcdefgh ") for _ in range(400))
+    index = spans.FMIndex([text, "x" * 250 + text[50:300], text[:199]], np.array([1, 2, 3]))
+    steps, ranks = [], index.bwt.ranks
+    index.bwt.ranks = lambda symbol, i: steps.append(len(symbol)) or ranks(symbol, i)
+    assert index.first_matches().tolist() == [50, 250, -1]
+    assert 0 < len([n for n in steps if n]) <= 150
