@@ -216,3 +216,11 @@ def test_canonical_rows_are_not_joined_back(spark):
     c = R.canonical(d)
     assert {(r["article_ix"], r["cluster_size"], r["multi_source"], r["first_ix"]) for r in c.collect()} == {(1, 3, True, 0), (4, 3, False, 3), (7, 2, True, 6)}
     assert "SortMergeJoin [article_ix" not in c._jdf.queryExecution().sparkPlan().toString() and c._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
+
+
+def test_positions_keep_no_key_and_shuffle_once(spark):
+    d = spark.createDataFrame([(i, "rss" if i % 3 else "reddit", -i) for i in range(50)], "article_ix bigint, source_type string, k bigint")
+    got = R.positions(d.repartition(5), "source_type", "k", "place")
+    assert "k" not in got.columns and "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = {(r["source_type"], r["place"]): r["article_ix"] for r in got.collect()}
+    assert rows == {(t, n): x for t, xs in (("rss", [i for i in range(49, -1, -1) if i % 3]), ("reddit", [i for i in range(48, -1, -3)])) for n, x in enumerate(xs, 1)}
