@@ -1,6 +1,8 @@
 """Operators on small frames: noise, anti-joins, pairs, components, ranking, diagnostics, catalogues."""
 
 import random
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from newsloom.operators import config, diagnostics
 from newsloom.operators import ranking as R
 from newsloom.operators import similarity as S
 from newsloom.operators.graph import connected_components
+from newsloom.session import forget, shared_dir, written
 from newsloom.sources.tables import ARTICLE
 
 
@@ -224,3 +227,54 @@ def test_positions_keep_no_key_and_shuffle_once(spark):
     assert "k" not in got.columns and "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
     rows = {(r["source_type"], r["place"]): r["article_ix"] for r in got.collect()}
     assert rows == {(t, n): x for t, xs in (("rss", [i for i in range(49, -1, -1) if i % 3]), ("reddit", [i for i in range(48, -1, -3)])) for n, x in enumerate(xs, 1)}
+
+
+def _shuffled(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def _runs(spark):
+    return {p.name for p in Path(shared_dir(spark).removeprefix("file://")).glob("*") if any(p.glob("*.parquet"))}
+
+
+def test_written_tables_leave_no_shuffle_and_can_be_forgotten(spark, tmp_path):
+    had, runs = _shuffled(spark), _runs(spark)
+    run = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevens")
+    until = time.time() + 20
+    while _shuffled(spark) - had and time.time() < until:  # they are removed soon after
+        time.sleep(0.2)
+    assert not _shuffled(spark) - had and run.count() == 7
+    run.write.parquet(f"{tmp_path}/own")
+    forget(run.unionByName(spark.read.parquet(f"{tmp_path}/own")))
+    assert _runs(spark) == runs and spark.read.parquet(f"{tmp_path}/own").count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_components_keep_one_run(spark):
+    had = _runs(spark)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "src bigint, dst bigint")
+    assert {r["component"] for r in connected_components(edges).collect()} == {0}
+    assert len(_runs(spark) - had) == 1
+
+
+def test_pairs_and_history_scores_are_read_from_one_run(spark):
+    titles = ["rust compiler gets faster builds today", "rust compiler gets faster builds today now", "weather report for the north", "weather report for the northern"]
+    rows = written(S.features_of(frame(spark, [{"title": t, "link": f"https://h{i}.example"} for i, t in enumerate(titles)])), "features")
+    for make, name in ((lambda: S.near_pairs(rows, 0.5), "pairs-"), (lambda: S.history_scores(rows, rows), "history-scores-")):
+        had = _runs(spark)
+        got = make()
+        assert got.count() > 0 and _exchanges(got) == 0
+        assert [n for n in _runs(spark) - had if not n.startswith(name)] == [] and rows.count() == 4
+
+
+def test_scores_of_the_pipeline_keep_the_positions_only(spark):
+    from newsloom.plans.pipeline import scored_articles
+
+    had = _runs(spark)
+    new = frame(spark, [{"title": f"story number {i // 2} about compilers and builds", "link": f"https://h{i}.example", "source_type": "rss" if i % 2 else "google"} for i in range(8)])
+    assert scored_articles(new, frame(spark, [{"title": "an old story", "link": "https://old.example"}])).count() == 8
+    assert {n.rpartition("-")[0] for n in _runs(spark) - had} <= {"ranges", "history-scores", "star", "edges"}
