@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import wordsets as W
 from newsloom.operators.graph import connected_components
-from newsloom.session import written
+from newsloom.session import forget, written
 
 LEAF, FAN = 32, 8
 THRESHOLD = 0.7
@@ -138,6 +138,13 @@ def similar_sets(sets: DataFrame, threshold: float, counts: DataFrame, cell_sets
     return blocks.mapInPandas(join, "set_a binary, set_b binary, similarity double")
 
 
+def similar_keys(sets: DataFrame, threshold: float, counts: DataFrame) -> DataFrame:
+    """set_a, set_b of similar_sets, written: blocks are gone before rows are joined to the pairs. counts is forgotten."""
+    pairs = written(similar_sets(sets, threshold, counts).select("set_a", "set_b"), "set-pairs")
+    forget(counts)
+    return pairs
+
+
 def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members: id, set_key; sets: set_key, words; counts: word, n), read from runs in the shared folder: titles are read once.
 
@@ -152,7 +159,7 @@ def word_sets(df: DataFrame, id_column: str, title: str) -> tuple[DataFrame, Dat
 def similar_rows(df: DataFrame, id_column: str, title: str, threshold: float = THRESHOLD) -> DataFrame:
     """id_a < id_b of all rows whose titles reach the threshold, equal titles included."""
     members, sets, counts = word_sets(df, id_column, title)
-    pairs = similar_sets(sets, threshold, counts).select("set_a", "set_b")
+    pairs = similar_keys(sets, threshold, counts)
     a = members.select(F.col("id").alias("x"), F.col("set_key").alias("set_a"))
     b = members.select(F.col("id").alias("y"), F.col("set_key").alias("set_b"))
     across = pairs.join(a, "set_a").join(b, "set_b").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
@@ -169,9 +176,10 @@ def similar_groups(df: DataFrame, id_column: str, title: str, threshold: float =
     """
     members, sets, counts = word_sets(df, id_column, title)
     heads = written(members.groupBy("set_key").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "set-heads")
-    pairs = similar_sets(sets, threshold, counts).select("set_a", "set_b")
+    pairs = similar_keys(sets, threshold, counts)
     a, b = (heads.select(F.col("set_key").alias(f"set_{x}"), F.col("head").alias(f"head_{x}"), F.col("copies").alias(f"copies_{x}")) for x in "ab")
     linked = written(pairs.join(a, "set_a").join(b, "set_b"), "set-links")
+    forget(pairs)
     both = linked.select(F.col("head_a").alias("head"), F.col("copies_b").alias("n")).unionByName(linked.select(F.col("head_b").alias("head"), F.col("copies_a").alias("n")))
     others = both.groupBy("head").agg(F.sum("n").alias("others"))
     classes = connected_components(linked, "head_a", "head_b").withColumnRenamed("vertex", "head")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import lookalike
-from newsloom.session import written
+from newsloom.session import shuffles_removed, written
 
 #: Cells of the sketch of word counts, as a power of two: 4 MB whatever the corpus; more cells tell more words apart.
 SKETCH_BITS = 22
@@ -170,7 +170,9 @@ def word_order(counts: DataFrame, bits: int = SKETCH_BITS) -> Order:
         return pd.DataFrame({"part": part["part"].iloc[:1], "body": [body.tobytes()]})
 
     cells = np.zeros(1 << bits, np.uint8)
-    for r in kinds.withColumn("part", F.shiftright("cell", side)).groupBy("part").applyInPandas(packed, "part int, body binary").collect():  # 2**(bits - side) rows
+    with shuffles_removed(counts.sparkSession):
+        parts = kinds.withColumn("part", F.shiftright("cell", side)).groupBy("part").applyInPandas(packed, "part int, body binary").collect()  # 2**(bits - side) rows
+    for r in parts:
         cells[r["part"] << side : (r["part"] + 1) << side] = np.frombuffer(r["body"], np.uint8)
     return Order(cells)
 

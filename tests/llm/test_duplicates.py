@@ -39,6 +39,12 @@ def test_similar_rows_is_exact(spark):
     assert sigtree.similar_rows(df.limit(0), "id", "title").count() == 0
 
 
+def test_blocks_are_gone_before_rows_are_joined(spark):
+    df = spark.createDataFrame(list(enumerate(titles(3, 40))), "id bigint, title string")
+    plan = sigtree.similar_rows(df, "id", "title")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "set-pairs-" in plan and "word-counts-" not in plan
+
+
 def test_similar_groups(spark):
     texts = titles(2, 120)
     s = sets_of(texts)
