@@ -188,6 +188,27 @@ def test_near_pairs_are_the_scored_candidates(spark):
     assert len(want) > 30 and sorted(want) == sorted((r["i"], r["j"], r["similarity"]) for r in got)
 
 
+def test_near_pairs_need_no_rare_token(spark):
+    """Every word is one of more titles than a bucket may hold; words go, come, are joined, mistyped and change places."""
+    from newsloom.params import Params
+
+    draw = random.Random(3)
+    words = ["compiler", "builds", "faster", "today", "release", "kernel", "report", "in"]
+    titles = [" ".join(draw.choices(words, k=draw.randint(4, 7))) for _ in range(160)]
+    for t in titles[:20]:
+        w = t.split()
+        k = draw.randrange(len(w) - 1)
+        letter = draw.randrange(len(t))
+        titles += [" ".join(w[:k] + w[k + 1 :]), " ".join(w[:k] + [w[k] + w[k + 1]] + w[k + 2 :]), t[:letter] + t[letter + 1 :], " ".join(w[1:] + w[:1]), t + " now"]
+    titles += ["国务院 发布 新规定 关于 市场", "国务院 发布 新规定 关于 市场 今日"] + ["", "go", "a b"] * 3
+    f = written(S.features_of(frame(spark, [{"title": t, "link": f"https://h{i % 3}.example/{i % 240}"} for i, t in enumerate(titles)])), "features")
+    lifted = Params(word_bucket=10**9, cjk_bucket=10**9)
+    want = {(r["i"], r["j"], r["similarity"]) for r in S.scored_pairs(S.candidate_pairs(f, lifted), f, 0.86).collect()}
+    for least in (0.86, 0.93):
+        got = S.near_pairs(f, least).collect()
+        assert sorted(w for w in want if w[2] >= least) == sorted((r["i"], r["j"], r["similarity"]) for r in got)
+
+
 def _exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
